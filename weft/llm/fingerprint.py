@@ -45,11 +45,15 @@ def total(values: Column, of=lambda h: h, mask: int = _MASK32) -> Column:
     return F.aggregate(values, F.lit(0).cast("long"), lambda a, h: (a + of(h)).bitwiseAND(mask))
 
 
+def seeded(seed: int):
+    return lambda h: F.xxhash64(F.lit(seed), h)
+
+
 def lanes_of(elements: Column) -> Column:
     """Array of longs with three lanes each, over an array of element hashes."""
     ones, out = F.lit(_ONES).cast("long"), []
     for seed in range(N_HASHES):
-        hashes = F.transform(elements, lambda h, s=seed: F.xxhash64(F.lit(s), h))
+        hashes = F.transform(elements, seeded(seed))
         out.append(let(hashes, lambda hs: F.array(*(total(hs, lambda h, k=k: F.shiftright(h, k).bitwiseAND(ones), _MASK) for k in range(LANES_APART)))))
     return F.concat(*out)
 

@@ -21,6 +21,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType
 
 from weft.llm.common import id_and_text, id_remainder
 
@@ -169,7 +170,7 @@ def text_features(docs: DataFrame, columns: list[str]) -> DataFrame:
             found = [features(t.as_py(), compressor) for t in batch.column(len(columns))]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(columns)], pa.array(found, pa.list_(pa.float64()))], names=[*columns, "features"])
 
-    return chosen.mapInArrow(rows, docs.select(*columns).schema.add("features", "array<double>"))
+    return chosen.mapInArrow(rows, docs.select(*columns).schema.add("features", ArrayType(DoubleType())))
 
 
 def train(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS) -> AdditiveModel:
