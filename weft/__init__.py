@@ -1,0 +1 @@
+"""weft: analytics on Spark DataFrames, SQL and Structured Streaming."""

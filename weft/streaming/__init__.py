@@ -1 +1,69 @@
-"""."""
+"""Structured Streaming over the event table.
+
+``run_available`` drives a stream over what is there now and returns its result as a table
+in a folder that the caller names (on a cluster a shared one).
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+from weft.sources import read_table
+
+
+def event_stream(spark: SparkSession, folder: str, late: str = "1 hour") -> DataFrame:
+    """The events as a stream with a watermark; ``ts`` as timestamp, which watermarks need.
+
+    The path is given as a pattern, so the table may be a folder or one file.
+    """
+    schema = read_table(spark, folder, "events").schema
+    return spark.readStream.schema(schema).parquet(f"{folder}/[e]vents.parquet").withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late)
+
+
+def run_available(result: DataFrame, folder: str, mode: str = "append") -> DataFrame:
+    """Runs the stream until its present input is used up. In ``complete`` mode each batch
+    replaces the table, in ``append`` mode it is added."""
+    spark = result.sparkSession
+    base = f"{folder}/weft-stream-{uuid.uuid4().hex}"
+    if mode == "append":
+        writer = result.writeStream.format("parquet").option("path", f"{base}/table")
+    else:
+        writer = result.writeStream.foreachBatch(lambda df, _: df.write.mode("overwrite").parquet(f"{base}/table"))
+    query = writer.outputMode(mode).option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start()
+    query.awaitTermination()
+    return spark.read.schema(result.schema).parquet(f"{base}/table")
+
+
+def hourly_counts(events: DataFrame) -> DataFrame:
+    """Events and their value by hour and type; batch and stream alike."""
+    grouped = events.groupBy(F.window("ts", "1 hour").alias("w"), "event_type")
+    return grouped.agg(F.count("*").alias("n"), F.sum(F.col("value").cast("decimal(18,2)")).alias("value")).select(F.col("w.start").alias("hour"), "event_type", "n", "value")
+
+
+def first_per_key(events: DataFrame, keys: list[str]) -> DataFrame:
+    """Drops later rows of equal keys while the watermark still knows them."""
+    return events.dropDuplicatesWithinWatermark(keys)
+
+
+class RunningTotals(StatefulProcessor):
+    """Emits each user's number of events and total value so far, once a batch."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.totals = handle.getValueState("totals", "n long, value double")
+
+    def handleInputRows(self, key, rows, timerValues):
+        import pandas as pd
+
+        n, value = self.totals.get() or (0, 0.0)
+        for pdf in rows:
+            n += len(pdf)
+            value += float(pdf["value"].sum())
+        self.totals.update((n, value))
+        yield pd.DataFrame({"user_id": [key[0]], "n": [n], "value": [value]})
+
+    def close(self) -> None:
+        pass
