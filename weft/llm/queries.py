@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from weft.llm import bpe_trie, fingerprint, langid, license, ngram_join, packing, quality, rules, sstable, substring
+from weft.llm.oracles import ORACLES  # noqa: F401
 
 
 def vocabulary() -> str:
@@ -61,4 +62,3 @@ QUERIES = {
     f.__name__: f
     for f in (op1_quality_gam, op2_packing, op3_multiset_fingerprint, op4_ngram_jaccard_join, op5_sstable, op6_language_id, op7_quality_rules, op8_substring_dedup, op9_bpe_trie, op10_license_scan)
 }
-ORACLES: dict[str, str] = {}
