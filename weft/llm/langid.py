@@ -25,7 +25,7 @@ from weft.llm.common import id_and_text, id_remainder
 
 UNKNOWN = "und"
 DOCS_PER_LANG, CHARS_PER_DOC = 256, 512
-BLOCK_BYTES, LEVEL = 1024, 3
+BLOCK_BYTES, LEVEL = 1024, 12
 #: The least share by which the second smallest must exceed the smallest.
 MARGIN = 0.01
 SHARPNESS = 60.0
