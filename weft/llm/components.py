@@ -13,6 +13,9 @@ MOST_ROUNDS = 60
 def components(links: DataFrame) -> DataFrame:
     """node, component (its least reachable node) for each node of ``links`` (a, b long).
 
+    What a join adds one row a node of is written first, so Spark may split the other side
+    where a node has very many links.
+
     Large-star and small-star rounds (Kiveris et al., 2014): each round points nodes at the
     least neighbour known, so long chains shrink by a factor a round. Every round is written
     to the shared folder; only its number of rows and a checksum reach the driver. Nodes of
@@ -23,10 +26,10 @@ def components(links: DataFrame) -> DataFrame:
     before = None
     for _ in range(MOST_ROUNDS):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
+        least = written(both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")), "least")
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
-        large = large.distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = written(large.distinct(), "links")
+        least = written(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         joined = large.join(least, "u")
         small = joined.select("u", F.col("m").alias("v")).unionByName(joined.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")))
         edges = written(small.distinct(), "links")

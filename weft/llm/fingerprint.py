@@ -140,19 +140,18 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     both joins.
     """
     docs = id_and_text(docs).withColumn("text", F.coalesce("text", F.lit("")))
-    printed = docs.withColumn("print", vector(F.col("text")))
     links = next_ids(docs)
-    known = printed.where("doc_id is not null")
+    known = docs.where("doc_id is not null")  # one shuffle serves both joins: only the text lies below them
     given = known.join(links.select(F.col("doc_id").alias("to"), "need", F.col("next_id").alias("doc_id")), "doc_id")
-    given = given.select("to", F.struct(F.xxhash64("text").alias("h"), F.expr("left(text, need)").alias("prefix"), F.col("print").alias("print")).alias("next"))
+    given = given.select("to", F.struct(F.xxhash64("text").alias("h"), F.expr("left(text, need)").alias("prefix"), vector(F.col("text")).alias("print")).alias("next"))
     given = given.groupBy(F.col("to").alias("doc_id")).agg(F.min("next").alias("next"))
     joined = known.join(given, "doc_id")
-    alone = printed.where("doc_id is null").withColumn("next", F.lit(None).cast(joined.schema["next"].dataType))
+    alone = docs.where("doc_id is null").withColumn("next", F.lit(None).cast(joined.schema["next"].dataType))
     n = F.length("text")
     quarter = F.floor(n / 4).cast("int")
     tail = F.coalesce(F.substring(F.col("next.prefix"), F.lit(1), quarter), F.lit(""))
     edited = joined.unionByName(alone).withColumn("edited", F.concat(F.substring(F.col("text"), F.lit(1), n - quarter), tail))
-    edited = edited.withColumn("edited_print", vector(F.col("edited")))
+    edited = edited.withColumn("print", vector(F.col("text"))).withColumn("edited_print", vector(F.col("edited")))
     return edited.select(
         "doc_id",
         n.cast("long").alias("n_chars"),

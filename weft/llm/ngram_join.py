@@ -280,7 +280,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     usable = docs.where("doc_id is not null")
 
     entries = postings(usable, counters(usable))
-    shared = entries.groupBy("bucket").agg(F.min("h1").alias("leader"), F.max("h1").alias("most")).where("leader != most").drop("most")
+    shared = written(entries.groupBy("bucket").agg(F.min("h1").alias("leader"), F.max("h1").alias("most")).where("leader != most").drop("most"), "shared")
+    drop_shuffles(spark)
     met = written(entries.join(shared, "bucket").select("bucket", "h1", "leader").distinct(), "buckets")
     drop_shuffles(spark)
 
@@ -292,8 +293,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     found = components(first).withColumnRenamed("node", "rep")
     labelled = classes.select("h1", "n", "vector", "rep").join(found, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     labelled = written(labelled.groupBy("h1").agg(F.min("component").alias("component"), F.min("n").alias("n"), F.min("vector").alias("vector")), "labels")
-    labels = met.select("bucket", "h1").join(labelled.select("h1", "component"), "h1")
-    mixed_buckets = labels.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y").select("bucket")
+    labels = written(met.select("bucket", "h1").join(labelled.select("h1", "component"), "h1"), "bucket-labels")
+    mixed_buckets = written(labels.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y").select("bucket"), "mixed")
     points = labels.join(mixed_buckets, "bucket").join(labelled.select("h1", "n", "vector"), "h1").select("bucket", "h1", "component", "n", "vector")
     more = written(tree_pairs(points).join(tested, ["a", "b"], "left_anti"), "pairs")
     second = written(verified(more, classes, usable), "links")

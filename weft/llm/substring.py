@@ -155,12 +155,12 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, kmer: int = KMER) -> D
     straight = span(met.where("not branches"))
 
     branching = met.where("branches").drop("first")
-    firsts = branching.groupBy("minimizer", "path").agg(first_place())
+    firsts = written(branching.groupBy("minimizer", "path").agg(first_place()), "firsts")  # written, so Spark may split the join below
     placed = written(branching.join(firsts, ["minimizer", "path"]).withColumn("later", is_later()), "branching")
     copies = span(placed.where("later"))
     edges = written(edges_of(placed.where("not later").dropDuplicates(["minimizer", "path"]), docs, window), "edges")
     drop_shuffles(spark)
-    known = edges.groupBy("e1", "e2").agg(F.count("*").alias("n"), first_place()).where("n > 1").drop("n")
+    known = written(edges.groupBy("e1", "e2").agg(F.count("*").alias("n"), first_place()).where("n > 1").drop("n"), "known")
     single = edges.join(known, ["e1", "e2"]).where(is_later()).withColumn("edges", F.lit(1))
     return written(straight.unionByName(copies).unionByName(span(single)), "spans")
 
