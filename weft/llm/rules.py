@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from weft.llm.common import SPACE, WORD, id_and_text, written
 
 #: Measures, each worse the higher it is, and their slack.
-MEASURES = {"symbols_per_word": 0.2, "dup_line_share": 0.3, "repeat_share": 0.2, "upper_share": 0.3, "chars_per_word": 4.0, "words_per_char": 0.15}
+MEASURES = {"symbols_per_word": 0.2, "dup_line_share": 0.5, "repeat_share": 0.3, "same_next_share": 0.2, "upper_share": 0.3, "chars_per_word": 4.0, "words_per_char": 0.15}
 REACH, LEAST_ROWS, SKETCH_K, WINDOW_WORDS = 4.0, 100, 400, 8
 
 
@@ -27,7 +27,8 @@ def let(value: Column, body) -> Column:
 
 
 def repeat_words(words: Column, size: int = WINDOW_WORDS) -> Column:
-    """Words in windows of ``size`` words that the text holds twice or more, the first included.
+    """repeat: words in windows of ``size`` words that the text holds twice or more, the first
+    included; same: words equal to the one before.
 
     Windows are compared by 64-bit hashes within one text. Only texts with an equal pair
     sort their windows; the words of the starts found are then counted gap by gap.
@@ -35,14 +36,18 @@ def repeat_words(words: Column, size: int = WINDOW_WORDS) -> Column:
 
     def covered(windows: Column) -> Column:
         pairs = F.array_sort(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-        again = let(pairs, lambda ps: F.transform(F.filter(ps, lambda p, j: F.coalesce(F.get(ps, j - 1)["h"] == p["h"], F.lit(False)) | F.coalesce(F.get(ps, j + 1)["h"] == p["h"], F.lit(False))), lambda p: p["i"]))
-        return let(F.sort_array(again), lambda at: F.aggregate(F.transform(at, lambda i, j: F.least(F.coalesce(F.get(at, j + 1) - i, F.lit(size)), F.lit(size))), F.lit(0), lambda a, x: a + x))
+        found = let(pairs, lambda ps: F.transform(F.filter(ps, lambda p, j: F.coalesce(F.get(ps, j - 1)["h"] == p["h"], F.lit(False)) | F.coalesce(F.get(ps, j + 1)["h"] == p["h"], F.lit(False))), lambda p: p["i"]))
+        return let(F.sort_array(found), lambda at: F.aggregate(F.transform(at, lambda i, j: F.least(F.coalesce(F.get(at, j + 1) - i, F.lit(size)), F.lit(size))), F.lit(0), lambda a, x: a + x))
 
-    def of(hashes: Column) -> Column:
+    def again(hashes: Column) -> Column:
         windows = F.transform(F.sequence(F.lit(0), F.size(hashes) - size), lambda i: F.xxhash64(*(F.get(hashes, i + k) for k in range(size))))
         return F.when(F.size(hashes) < size, F.lit(0)).otherwise(let(windows, lambda ws: F.when(F.size(F.array_distinct(ws)) == F.size(ws), F.lit(0)).otherwise(covered(ws))))
 
-    return let(F.transform(words, lambda w: F.xxhash64(w)), of).cast("long")
+    def of(hashes: Column) -> Column:
+        same = F.size(F.filter(hashes, lambda h, i: (i > 0) & (F.get(hashes, i - 1) == h)))
+        return F.struct(again(hashes).cast("long").alias("repeat"), same.cast("long").alias("same"))
+
+    return let(F.transform(words, lambda w: F.xxhash64(w)), of)
 
 
 def measured(docs: DataFrame) -> DataFrame:
@@ -50,19 +55,20 @@ def measured(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     words = F.array_remove(F.split(text, SPACE), "")
     lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike(WORD))
-    counts = let(words, lambda ws: F.struct(F.size(ws).cast("long").alias("n_words"), F.aggregate(ws, F.lit(0).cast("long"), lambda a, w: a + F.length(w)).alias("word_chars"), repeat_words(ws).alias("n_repeat_words")))
+    counts = let(words, lambda ws: F.struct(F.size(ws).cast("long").alias("n_words"), F.aggregate(ws, F.lit(0).cast("long"), lambda a, w: a + F.length(w)).alias("word_chars"), repeat_words(ws).alias("r")))
     counted = docs.select(
         "doc_id", "lang", "source", counts.alias("c"),
         F.length(F.regexp_replace(text, r"[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
         F.length(F.regexp_replace(text, r"[^A-Z]+", "")).cast("long").alias("n_upper"),
         let(lines, lambda ls: F.struct(F.size(ls).cast("long").alias("n"), (F.size(ls) - F.size(F.array_distinct(ls))).cast("long").alias("dup"))).alias("l"),
     )
-    counted = counted.select("doc_id", "lang", "source", "c.n_words", "c.word_chars", "n_symbols", F.col("l.dup").alias("n_dup_lines"), "c.n_repeat_words", "n_upper", F.col("l.n").alias("n_lines"))
+    counted = counted.select("doc_id", "lang", "source", "c.n_words", "c.word_chars", "n_symbols", F.col("l.dup").alias("n_dup_lines"), F.col("c.r.repeat").alias("n_repeat_words"), F.col("c.r.same").alias("n_same_next"), "n_upper", F.col("l.n").alias("n_lines"))
     share = lambda a, b: F.when(F.col(b) > 0, F.col(a).cast("double") / F.col(b)).otherwise(F.lit(0.0))
     return counted.withColumns({
         "symbols_per_word": share("n_symbols", "n_words"),
         "dup_line_share": share("n_dup_lines", "n_lines"),
         "repeat_share": share("n_repeat_words", "n_words"),
+        "same_next_share": share("n_same_next", "n_words"),
         "upper_share": share("n_upper", "word_chars"),
         "chars_per_word": share("word_chars", "n_words"),
         "words_per_char": share("n_words", "word_chars"),
