@@ -99,8 +99,10 @@ def test_tree_finds_what_all_pairs_find(points):
         np.add.at(vectors[k], items, 1)
     sizes, labels = np.array([len(p[0]) for p in points]), np.array([p[1] for p in points])
     got = {(min(i, j), max(i, j)) for p, q in ngram_join.CountVectorTree(vectors, sizes, labels).pairs() for i, j in zip(p.tolist(), q.tolist())}
+    every = ngram_join.leaf_pairs(np.zeros(len(points)), vectors, sizes, labels, len(points))
     want = {(i, j) for i in range(len(points)) for j in range(i + 1, len(points)) if labels[i] != labels[j] and ngram_join.bound_passes(sizes[i], sizes[j], int(np.minimum(vectors[i], vectors[j]).sum()))}
     assert got == want
+    assert set(zip(every[0].tolist(), every[1].tolist())) == want
 
 
 @settings(max_examples=60, deadline=None)

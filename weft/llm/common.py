@@ -40,7 +40,17 @@ def written(df: DataFrame, label: str) -> DataFrame:
     executor costs no recomputation of what lies before it."""
     path = new_path(df.sparkSession, label)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    made = df.sparkSession.read.schema(df.schema).parquet(path)
+    made._weft_path = path
+    return made
+
+
+def forget(*tables: DataFrame) -> None:
+    """Deletes tables that ``written`` made; what still reads them must itself be written."""
+    for df in tables:
+        jvm, conf = df.sparkSession.sparkContext._jvm, df.sparkSession._jsparkSession.sessionState().newHadoopConf()
+        path = jvm.org.apache.hadoop.fs.Path(df._weft_path)
+        path.getFileSystem(conf).delete(path, True)
 
 
 def drop_shuffles(spark: SparkSession) -> None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weft.llm.common import written
+from weft.llm.common import forget, written
 
 MOST_ROUNDS = 60
 
@@ -27,12 +27,15 @@ def components(links: DataFrame) -> DataFrame:
     for _ in range(MOST_ROUNDS):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = written(both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")), "least")
+        done = [edges, least]
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
         large = written(large.distinct(), "links")
         least = written(large.groupBy("u").agg(F.min("v").alias("m")), "least")
+        done += [large, least]
         joined = large.join(least, "u")
         small = joined.select("u", F.col("m").alias("v")).unionByName(joined.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")))
         edges = written(small.distinct(), "links")
+        forget(*done)
         told = edges.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")).first()
         if (told.n, told.x) == before:
             break
@@ -40,4 +43,6 @@ def components(links: DataFrame) -> DataFrame:
     else:
         raise RuntimeError(f"components are not settled after {MOST_ROUNDS} rounds")
     stars = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
-    return stars.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+    found = written(stars.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()), "components")
+    forget(edges)
+    return found

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weft.llm.common import drop_shuffles, id_and_text, written
+from weft.llm.common import drop_shuffles, forget, id_and_text, written
 from weft.llm.components import components
 from weft.llm.substring import packed_texts, unpack
 from weft.llm.words import mixed, run_starts, runs_hash, word_hashes
@@ -229,36 +229,54 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame
     return joined.mapInArrow(rows, "a long, b long").distinct()
 
 
+def leaf_pairs(bucket: np.ndarray, vectors: np.ndarray, sizes: np.ndarray, labels: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """What ``CountVectorTree.pairs`` finds in buckets of one leaf, for many sorted buckets of up
+    to ``most`` points at once: point k meets points k + 1, k + 2, ... of its bucket."""
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for d in range(1, most):
+        i = np.flatnonzero((bucket[:-d] == bucket[d:]) & (labels[:-d] != labels[d:]))
+        i = i[DENOMINATOR * np.minimum(sizes[i], sizes[i + d]) >= NUMERATOR * np.maximum(sizes[i], sizes[i + d])]
+        i = i[bound_passes(sizes[i], sizes[i + d], np.minimum(vectors[i], vectors[i + d]).sum(1, dtype=np.int64))]
+        left.append(i)
+        right.append(i + d)
+    return np.concatenate(left), np.concatenate(right)
+
+
 def tree_pairs(points: DataFrame) -> DataFrame:
     """Pairs (a, b: h1) of different components that pass the bound within a bucket.
 
-    ``points``: bucket, h1, component, n, vector. A task reads bucket after bucket and holds
-    one at a time.
+    ``points``: bucket, h1, component, n, vector. A task reads bucket after bucket: those of
+    one leaf many at a time, each larger one as a tree of its own.
     """
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def join(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            table = pa.Table.from_batches(parts).combine_chunks()
-            h1 = np.asarray(table["h1"])
-            tree = CountVectorTree(as_vectors(table["vector"].combine_chunks()), np.asarray(table["n"]), np.asarray(table["component"]))
-            for p, q in tree.pairs():
+        def join(table: pa.Table) -> Iterator[pa.RecordBatch]:
+            table = table.combine_chunks()
+            bucket, h1, sizes, labels = (np.asarray(table[c]) for c in ("bucket", "h1", "n", "component"))
+            vectors = as_vectors(table["vector"].combine_chunks())
+            cuts = np.concatenate([[0], np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, [len(bucket)]])
+            counts = np.diff(cuts)
+            small = np.flatnonzero(np.repeat(counts, counts) <= LEAF)
+            p, q = leaf_pairs(bucket[small], vectors[small], sizes[small], labels[small], int(counts[counts <= LEAF].max(initial=1)))
+            found = [(small[p], small[q])]
+            for k in np.flatnonzero(counts > LEAF):
+                own = slice(cuts[k], cuts[k + 1])
+                found += [(p + cuts[k], q + cuts[k]) for p, q in CountVectorTree(vectors[own], sizes[own], labels[own]).pairs()]
+            for p, q in found:
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(h1[p], h1[q])), pa.array(np.maximum(h1[p], h1[q]))], names=["a", "b"])
 
-        held: list[pa.RecordBatch] = []
-        of = None
+        held: list[pa.RecordBatch] = []  # the bucket that the next batch may go on with
         for batch in batches:
             bucket = np.asarray(batch.column("bucket"))
-            cuts = [0, *(np.flatnonzero(bucket[1:] != bucket[:-1]) + 1).tolist(), len(bucket)]
-            for lo, hi in zip(cuts, cuts[1:]):
-                if hi == lo:
-                    continue
-                if held and bucket[lo] != of:
-                    yield from join(held)
-                    held = []
-                of = bucket[lo]
-                held.append(batch.slice(lo, hi - lo))
+            if not len(bucket):
+                continue
+            last = int(np.searchsorted(bucket, bucket[-1], "left"))
+            if last or (held and held[-1].column("bucket")[-1].as_py() != bucket[0]):
+                yield from join(pa.Table.from_batches([*held, batch.slice(0, last)]))
+                held = []
+            held.append(batch.slice(last))
         if held:
-            yield from join(held)
+            yield from join(pa.Table.from_batches(held))
 
     parts = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = points.repartition(parts, "bucket").sortWithinPartitions("bucket", "n", "h1")
@@ -290,8 +308,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     first = written(verified(tested, classes, usable), "links")
     drop_shuffles(spark)
 
-    found = components(first).withColumnRenamed("node", "rep")
-    labelled = classes.select("h1", "n", "vector", "rep").join(found, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    found = components(first)
+    labelled = classes.select("h1", "n", "vector", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     labelled = written(labelled.groupBy("h1").agg(F.min("component").alias("component"), F.min("n").alias("n"), F.min("vector").alias("vector")), "labels")
     labels = written(met.select("bucket", "h1").join(labelled.select("h1", "component"), "h1"), "bucket-labels")
     mixed_buckets = written(labels.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y").select("bucket"), "mixed")
@@ -300,6 +318,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     second = written(verified(more, classes, usable), "links")
     drop_shuffles(spark)
 
+    forget(shared, met, tested, found, labelled, labels, mixed_buckets, more)
     merged = components(first.unionByName(second)).withColumnRenamed("node", "rep")
     of_class = classes.select("h1", "h2", "n", "rep").join(merged, "rep", "left").select("h1", "h2", "n", F.coalesce("component", "rep").alias("component_id"))
     linked = known.select("doc_id", "h1", "h2", "n").join(of_class, ["h1", "h2", "n"]).select("doc_id", F.col("n").alias("n_shingles"), "component_id")

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from weft.llm.common import drop_shuffles, written
+from weft.llm.common import drop_shuffles, forget, written
 from weft.llm.words import mixed, run_starts, runs_hash, word_hashes
 
 WINDOW, KMER = 20, 8
@@ -162,7 +162,9 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, kmer: int = KMER) -> D
     drop_shuffles(spark)
     known = written(edges.groupBy("e1", "e2").agg(F.count("*").alias("n"), first_place()).where("n > 1").drop("n"), "known")
     single = edges.join(known, ["e1", "e2"]).where(is_later()).withColumn("edges", F.lit(1))
-    return written(straight.unionByName(copies).unionByName(span(single)), "spans")
+    spans = written(straight.unionByName(copies).unionByName(span(single)), "spans")
+    forget(seen, met, firsts, placed, edges, known)
+    return spans
 
 
 def without_repeats(docs: DataFrame, more: list[str] = [], window: int = WINDOW, kmer: int = KMER) -> DataFrame:  # noqa: B006
