@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from weft import share_code
 from weft.sources import read_table
 
 
@@ -28,6 +29,7 @@ def run_available(result: DataFrame, folder: str, mode: str = "append") -> DataF
     """Runs the stream until its present input is used up. In ``complete`` mode each batch
     replaces the table, in ``append`` mode it is added."""
     spark = result.sparkSession
+    share_code(spark)
     base = f"{folder}/weft-stream-{uuid.uuid4().hex}"
     if mode == "append":
         writer = result.writeStream.format("parquet").option("path", f"{base}/table")
