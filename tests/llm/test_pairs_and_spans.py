@@ -92,15 +92,15 @@ def test_components_of_a_chain(spark):
 
 
 @settings(max_examples=40, deadline=None)
-@given(st.lists(st.tuples(st.lists(st.integers(0, 9), min_size=1, max_size=25, unique=True), st.integers(0, 3)), min_size=1, max_size=90))
+@given(st.lists(st.tuples(st.lists(st.integers(0, 9), min_size=1, max_size=25, unique=True), st.integers(0, 3), st.integers(-1, 2)), min_size=1, max_size=90))
 def test_tree_finds_what_all_pairs_find(points):
     vectors = np.zeros((len(points), ngram_join.GROUPS), np.uint32)
-    for k, (items, _) in enumerate(points):
+    for k, (items, _, _) in enumerate(points):
         np.add.at(vectors[k], items, 1)
-    sizes, labels = np.array([len(p[0]) for p in points]), np.array([p[1] for p in points])
+    sizes, labels = np.array([len(p[0]) for p in points]), [np.array([p[k] for p in points]) for k in (1, 2)]
     got = {(min(i, j), max(i, j)) for p, q in ngram_join.CountVectorTree(vectors, sizes, labels).pairs() for i, j in zip(p.tolist(), q.tolist())}
     every = ngram_join.leaf_pairs(np.zeros(len(points)), vectors, sizes, labels, len(points))
-    want = {(i, j) for i in range(len(points)) for j in range(i + 1, len(points)) if labels[i] != labels[j] and ngram_join.bound_passes(sizes[i], sizes[j], int(np.minimum(vectors[i], vectors[j]).sum()))}
+    want = {(i, j) for i in range(len(points)) for j in range(i + 1, len(points)) if all(x[i] != x[j] or x[i] == -1 for x in labels) and ngram_join.sizes_pass(min(sizes[i], sizes[j]), max(sizes[i], sizes[j])) and ngram_join.bound_passes(sizes[i], sizes[j], int(np.minimum(vectors[i], vectors[j]).sum()))}
     assert got == want
     assert set(zip(every[0].tolist(), every[1].tolist())) == want
 

@@ -1,9 +1,11 @@
 """N-gram Jaccard join with count vectors in R-trees.
 
 A document's set is its distinct shingles of five words. Its count vector tells how many
-of them hash into each of ``GROUPS`` groups; the sum of two vectors' lesser coordinates
-bounds the sets' overlap from above, and so does that sum over the upper corners of two
-R-tree boxes. The join is exact:
+of them hash into each group; the sum of two vectors' lesser coordinates bounds the sets'
+overlap from above, and so does that sum over the upper corners of two R-tree boxes. Trees
+index 64 groups. A larger set's vector has up to 1,024, a power of two, and is folded to
+fewer groups where it meets a shorter one; pairs that pass in the tree are bounded again
+over as many groups as both have. The join is exact:
 
 1.  Documents of one set are one class; from here on a class is one node.
 2.  Sets are ordered by a fixed rule (shingles of busy counters of a sketch of the whole
@@ -27,7 +29,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weft.llm.common import drop_shuffles, forget, id_and_text, written
@@ -38,7 +40,7 @@ from weft.llm.words import mixed, run_starts, runs_hash, word_hashes
 SHINGLE_WORDS = 5
 #: Two sets link when NUMERATOR * union <= DENOMINATOR * intersection.
 NUMERATOR, DENOMINATOR = 75, 100
-GROUPS, LEAF, COUNTERS = 64, 32, 1 << 16
+GROUPS, MOST_GROUPS, LEAF, COUNTERS = 64, 1024, 32, 1 << 16
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -74,6 +76,56 @@ def set_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return found, np.searchsorted(text, np.arange(len(texts) + 1))
 
 
+def groups_of(n):
+    """Groups of the count vector of a set of size n: a power of two near n / 4."""
+    return np.clip(1 << np.ceil(np.log2(np.maximum(n, 1) / 4)).clip(0).astype(np.int64), GROUPS, MOST_GROUPS)
+
+
+def count_vector(shingles: np.ndarray) -> bytes:
+    """Counts as unsigned 16-bit numbers, or 32-bit ones if one is too large."""
+    groups = int(groups_of(len(shingles)))
+    counts = np.bincount((shingles % groups).astype(np.int64), minlength=groups)
+    return counts.astype("<u2" if counts.max() < 65536 else "<u4").tobytes()
+
+
+class Vectors:
+    """Count vectors of several widths."""
+
+    def __init__(self, column: pa.Array, sizes: np.ndarray):
+        self.groups, self.row = groups_of(sizes), np.zeros(len(sizes), np.int64)
+        data, self.matrix = column.to_pylist(), {}
+        for g in np.unique(self.groups).tolist():
+            at = np.flatnonzero(self.groups == g)
+            self.row[at] = np.arange(len(at))
+            own = [data[k] for k in at]
+            if all(len(x) == 2 * g for x in own):
+                self.matrix[g] = np.frombuffer(b"".join(own), "<u2").reshape(-1, g)
+            else:
+                self.matrix[g] = np.stack([np.frombuffer(x, f"<u{len(x) // g}").astype(np.uint32) for x in own])
+
+    def folded(self, rows: np.ndarray, width: int, groups: int) -> np.ndarray:
+        found = self.matrix[groups][self.row[rows]]
+        return found if width == groups else found.reshape(len(rows), -1, width).sum(1, dtype=np.uint32)
+
+    def narrow(self) -> np.ndarray:
+        out = np.zeros((len(self.row), GROUPS), np.uint32)
+        for g in self.matrix:
+            at = np.flatnonzero(self.groups == g)
+            out[at] = self.folded(at, GROUPS, g)
+        return out
+
+    def least(self, p: np.ndarray, other: Vectors, q: np.ndarray) -> np.ndarray:
+        """For each pair the sum of the lesser counts over the groups that both have."""
+        out, a, b = np.zeros(len(p), np.int64), self.groups[p], other.groups[q]
+        for x in self.matrix:
+            for y in other.matrix:
+                at = np.flatnonzero((a == x) & (b == y))
+                for k in range(0, len(at), 8192):
+                    some, width = at[k : k + 8192], min(x, y)
+                    out[some] = np.minimum(self.folded(p[some], width, x), other.folded(q[some], width, y)).sum(1, dtype=np.int64)
+        return out
+
+
 def in_slices(batches: Iterable[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for lo in range(0, batch.num_rows, rows):
@@ -87,13 +139,12 @@ def set_features(docs: DataFrame) -> DataFrame:
         for batch in in_slices(batches):
             found, offsets = set_hashes(batch.column(1))
             n = np.diff(offsets)
-            text = np.repeat(np.arange(len(n)), n)
-            vectors = np.bincount(text * GROUPS + (found % GROUPS).astype(np.int64), minlength=len(n) * GROUPS).astype("<u4").reshape(-1, GROUPS)
+            vectors = [count_vector(found[lo:hi]) for lo, hi in zip(offsets[:-1], offsets[1:])]
             names = []
             for seed in (11, 12):
                 sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(found, seed))])
                 names.append(pa.array(mixed(sums[offsets[1:]] - sums[offsets[:-1]] + n.astype(np.uint64), seed).view(np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), *names, pa.array([v.tobytes() for v in vectors], pa.binary())], names=["doc_id", "n", "h1", "h2", "vector"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), *names, pa.array(vectors, pa.binary())], names=["doc_id", "n", "h1", "h2", "vector"])
 
     return docs.select("doc_id", "text").mapInArrow(rows, "doc_id long, n long, h1 long, h2 long, vector binary")
 
@@ -142,21 +193,28 @@ def bound_passes(n_a, n_b, least_sum):
     return (NUMERATOR + DENOMINATOR) * least_sum >= NUMERATOR * (n_a + n_b)
 
 
+def sizes_pass(less, more):
+    """Whether a set of size ``less`` is large enough to link with one of size ``more``."""
+    return DENOMINATOR * less >= NUMERATOR * more
+
+
 class CountVectorTree:
     """An R-tree over count vectors, bulk-loaded by halving the widest coordinate.
 
-    ``pairs(labels)`` yields the places of pairs of points that pass the bound and differ
-    in label, by descending both trees at once; a box carries the greatest count of each
-    group, its least size and its label if all its points have one.
+    ``pairs()`` yields the places of pairs of points that pass the bound and differ in every
+    label, by descending both trees at once; a box carries the greatest count of each group,
+    its least and greatest size, and each label that all its points have. ``labels`` is a
+    list of arrays; -1 differs from -1 too.
     """
 
-    def __init__(self, vectors: np.ndarray, sizes: np.ndarray, labels: np.ndarray):
+    def __init__(self, vectors: np.ndarray, sizes: np.ndarray, labels: list[np.ndarray]):
         self.vectors, self.sizes, self.labels = vectors.astype(np.int64), sizes, labels
         self.root = self._build(np.arange(len(sizes))) if len(sizes) else None
 
     def _build(self, points: np.ndarray) -> dict:
-        v, label = self.vectors[points], self.labels[points]
-        node = {"points": points, "most": v.max(0), "least_n": int(self.sizes[points].min()), "label": label[0] if (label == label[0]).all() else None, "kids": ()}
+        v, n = self.vectors[points], self.sizes[points]
+        same = [int(x[points[0]]) if (x[points] == x[points[0]]).all() else -1 for x in self.labels]
+        node = {"points": points, "most": v.max(0), "least_n": int(n.min()), "most_n": int(n.max()), "labels": same, "kids": ()}
         if len(points) > LEAF:
             spread = np.concatenate([v.max(0) - v.min(0), [np.ptp(self.sizes[points])]])
             k = int(spread.argmax())
@@ -169,7 +227,9 @@ class CountVectorTree:
         stack = [(self.root, self.root)] if self.root else []
         while stack:
             a, b = stack.pop()
-            if a["label"] is not None and a["label"] == b["label"]:
+            if any(x == y != -1 for x, y in zip(a["labels"], b["labels"])):
+                continue
+            if not (sizes_pass(a["most_n"], b["least_n"]) and sizes_pass(b["most_n"], a["least_n"])):
                 continue
             if not bound_passes(a["least_n"], b["least_n"], int(np.minimum(a["most"], b["most"]).sum())):
                 continue
@@ -184,7 +244,9 @@ class CountVectorTree:
             else:
                 p, q = a["points"], b["points"]
                 least = np.minimum(self.vectors[p][:, None, :], self.vectors[q][None, :, :]).sum(2)
-                ok = bound_passes(self.sizes[p][:, None], self.sizes[q][None, :], least) & (self.labels[p][:, None] != self.labels[q][None, :])
+                ok = bound_passes(self.sizes[p][:, None], self.sizes[q][None, :], least)
+                for x in self.labels:
+                    ok &= (x[p][:, None] != x[q][None, :]) | (x[p][:, None] == -1)
                 if a is b:
                     ok = np.triu(ok, 1)
                 i, j = np.nonzero(ok)
@@ -192,10 +254,6 @@ class CountVectorTree:
                     yield p[i], q[j]
 
 
-def as_vectors(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), "<u4").reshape(-1, GROUPS)
-
-
 def bounded(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs (a, b: h1) whose count vectors pass the bound."""
     one = classes.select("h1", "n", "vector")
@@ -203,8 +261,8 @@ def bounded(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            least = np.minimum(as_vectors(batch.column(4)), as_vectors(batch.column(5))).sum(1, dtype=np.int64)
-            ok = bound_passes(np.asarray(batch.column(2)), np.asarray(batch.column(3)), least)
+            n_a, n_b, every = np.asarray(batch.column(2)), np.asarray(batch.column(3)), np.arange(batch.num_rows)
+            ok = bound_passes(n_a, n_b, Vectors(batch.column(4), n_a).least(every, Vectors(batch.column(5), n_b), every))
             yield batch.select([0, 1]).filter(pa.array(ok))
 
     return joined.mapInArrow(rows, "a long, b long").distinct()
@@ -229,13 +287,15 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame
     return joined.mapInArrow(rows, "a long, b long").distinct()
 
 
-def leaf_pairs(bucket: np.ndarray, vectors: np.ndarray, sizes: np.ndarray, labels: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+def leaf_pairs(bucket: np.ndarray, vectors: np.ndarray, sizes: np.ndarray, labels: list[np.ndarray], most: int) -> tuple[np.ndarray, np.ndarray]:
     """What ``CountVectorTree.pairs`` finds in buckets of one leaf, for many sorted buckets of up
     to ``most`` points at once: point k meets points k + 1, k + 2, ... of its bucket."""
     left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for d in range(1, most):
-        i = np.flatnonzero((bucket[:-d] == bucket[d:]) & (labels[:-d] != labels[d:]))
-        i = i[DENOMINATOR * np.minimum(sizes[i], sizes[i + d]) >= NUMERATOR * np.maximum(sizes[i], sizes[i + d])]
+        i = np.flatnonzero(bucket[:-d] == bucket[d:])
+        for x in labels:
+            i = i[(x[i] != x[i + d]) | (x[i] == -1)]
+        i = i[sizes_pass(np.minimum(sizes[i], sizes[i + d]), np.maximum(sizes[i], sizes[i + d]))]
         i = i[bound_passes(sizes[i], sizes[i + d], np.minimum(vectors[i], vectors[i + d]).sum(1, dtype=np.int64))]
         left.append(i)
         right.append(i + d)
@@ -245,24 +305,31 @@ def leaf_pairs(bucket: np.ndarray, vectors: np.ndarray, sizes: np.ndarray, label
 def tree_pairs(points: DataFrame) -> DataFrame:
     """Pairs (a, b: h1) of different components that pass the bound within a bucket.
 
-    ``points``: bucket, h1, component, n, vector. A task reads bucket after bucket: those of
-    one leaf many at a time, each larger one as a tree of its own.
+    ``points``: bucket, h1, component, before, n, vector. ``before`` is the next lesser bucket
+    of the set: points that have it in common met there already, so a bucket joins only
+    points that come from different ones. A task reads bucket after bucket: those of one
+    leaf many at a time, each larger one as a tree of its own.
     """
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def join(table: pa.Table) -> Iterator[pa.RecordBatch]:
             table = table.combine_chunks()
-            bucket, h1, sizes, labels = (np.asarray(table[c]) for c in ("bucket", "h1", "n", "component"))
-            vectors = as_vectors(table["vector"].combine_chunks())
+            bucket, h1, sizes, component = (np.asarray(table[c]) for c in ("bucket", "h1", "n", "component"))
+            labels = [component, np.unique(np.asarray(table["before"].fill_null(0)), return_inverse=True)[1]]
+            labels[1][np.asarray(table["before"].is_null())] = -1
+            wide = Vectors(table["vector"].combine_chunks(), sizes)
+            vectors = wide.narrow()
             cuts = np.concatenate([[0], np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, [len(bucket)]])
             counts = np.diff(cuts)
             small = np.flatnonzero(np.repeat(counts, counts) <= LEAF)
-            p, q = leaf_pairs(bucket[small], vectors[small], sizes[small], labels[small], int(counts[counts <= LEAF].max(initial=1)))
+            p, q = leaf_pairs(bucket[small], vectors[small], sizes[small], [x[small] for x in labels], int(counts[counts <= LEAF].max(initial=1)))
             found = [(small[p], small[q])]
             for k in np.flatnonzero(counts > LEAF):
                 own = slice(cuts[k], cuts[k + 1])
-                found += [(p + cuts[k], q + cuts[k]) for p, q in CountVectorTree(vectors[own], sizes[own], labels[own]).pairs()]
+                found += [(p + cuts[k], q + cuts[k]) for p, q in CountVectorTree(vectors[own], sizes[own], [x[own] for x in labels]).pairs()]
             for p, q in found:
+                ok = bound_passes(sizes[p], sizes[q], wide.least(p, wide, q))
+                p, q = p[ok], q[ok]
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(h1[p], h1[q])), pa.array(np.maximum(h1[p], h1[q]))], names=["a", "b"])
 
         held: list[pa.RecordBatch] = []  # the bucket that the next batch may go on with
@@ -313,8 +380,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     labelled = written(labelled.groupBy("h1").agg(F.min("component").alias("component"), F.min("n").alias("n"), F.min("vector").alias("vector")), "labels")
     labels = written(met.select("bucket", "h1").join(labelled.select("h1", "component"), "h1"), "bucket-labels")
     mixed_buckets = written(labels.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y").select("bucket"), "mixed")
-    points = labels.join(mixed_buckets, "bucket").join(labelled.select("h1", "n", "vector"), "h1").select("bucket", "h1", "component", "n", "vector")
-    more = written(tree_pairs(points).join(tested, ["a", "b"], "left_anti"), "pairs")
+    before = F.lag("bucket").over(Window.partitionBy("h1").orderBy("bucket"))  # a partition is a part of one set's prefix
+    points = labels.join(mixed_buckets, "bucket").withColumn("before", before).join(labelled.select("h1", "n", "vector"), "h1")
+    more = written(tree_pairs(points.select("bucket", "h1", "component", "before", "n", "vector")).join(tested, ["a", "b"], "left_anti"), "pairs")
+    drop_shuffles(spark)
     second = written(verified(more, classes, usable), "links")
     drop_shuffles(spark)
 
