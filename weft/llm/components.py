@@ -30,8 +30,8 @@ def components(links: DataFrame) -> DataFrame:
         done = [edges, least]
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
         large = written(large.distinct(), "links")
-        least = written(large.groupBy("u").agg(F.min("v").alias("m")), "least")
-        done += [large, least]
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        done.append(large)
         joined = large.join(least, "u")
         small = joined.select("u", F.col("m").alias("v")).unionByName(joined.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")))
         edges = written(small.distinct(), "links")

@@ -3,7 +3,7 @@
 A document's set is its distinct shingles of five words. Its count vector tells how many
 of them hash into each group; the sum of two vectors' lesser coordinates bounds the sets'
 overlap from above, and so does that sum over the upper corners of two R-tree boxes. Trees
-index 64 groups. A larger set's vector has up to 1,024, a power of two, and is folded to
+index 64 groups. A larger set's vector has up to 4,096, a power of two, and is folded to
 fewer groups where it meets a shorter one; pairs that pass in the tree are bounded again
 over as many groups as both have. The join is exact:
 
@@ -12,23 +12,26 @@ over as many groups as both have. The join is exact:
     corpus last, then by hash). Two sets that link share a shingle among the first
     ``n - ceil(0.75 n) + 1`` of each, so only classes that meet in such a shingle's bucket
     are compared.
-3.  Each class is compared with the least class of its buckets; the pairs that pass the
-    bound are verified on the texts. Components of these links settle nearly all copies.
+3.  Each class is compared with a few of the classes that lead its buckets (have the least
+    hash there); the pairs that pass the bound are verified on the texts. The components
+    of these links, taken twice, settle nearly all copies.
 4.  Buckets that still hold several components are joined by R-trees over their points;
     pairs of different components that pass the bound are verified too. A pair that
     links is in one component by then or is found here: no link is lost.
 5.  Components of all links, by their least document.
 
-No bucket's pairs are listed: step 3 is linear in the bucket, and step 4 keeps pairs
+No bucket's pairs are listed: step 3 makes up to eight pairs a class, and step 4 keeps pairs
 within a component and boxes under the bound out.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,7 +43,8 @@ from weft.llm.words import mixed, run_starts, runs_hash, word_hashes
 SHINGLE_WORDS = 5
 #: Two sets link when NUMERATOR * union <= DENOMINATOR * intersection.
 NUMERATOR, DENOMINATOR = 75, 100
-GROUPS, MOST_GROUPS, LEAF, COUNTERS = 64, 1024, 32, 1 << 16
+GROUPS, MOST_GROUPS, LEAF, COUNTERS = 64, 4096, 32, 1 << 16
+STAR_STEPS, SEEDS = 2, 4
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -77,15 +81,16 @@ def set_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def groups_of(n):
-    """Groups of the count vector of a set of size n: a power of two near n / 4."""
-    return np.clip(1 << np.ceil(np.log2(np.maximum(n, 1) / 4)).clip(0).astype(np.int64), GROUPS, MOST_GROUPS)
+    """Groups of the count vector of a set of size n: the power of two from n on."""
+    return np.clip(1 << np.ceil(np.log2(np.maximum(n, 1))).clip(0).astype(np.int64), GROUPS, MOST_GROUPS)
 
 
-def count_vector(shingles: np.ndarray) -> bytes:
-    """Counts as unsigned 16-bit numbers, or 32-bit ones if one is too large."""
+def count_vector(shingles: np.ndarray, compressor: zstandard.ZstdCompressor) -> bytes:
+    """Counts as unsigned 8-bit numbers, or 32-bit ones if one is too large; most are 0 or 1, so
+    they are compressed to about 0.3 bytes a shingle."""
     groups = int(groups_of(len(shingles)))
     counts = np.bincount((shingles % groups).astype(np.int64), minlength=groups)
-    return counts.astype("<u2" if counts.max() < 65536 else "<u4").tobytes()
+    return compressor.compress(counts.astype("u1" if counts.max() < 256 else "<u4").tobytes())
 
 
 class Vectors:
@@ -93,15 +98,16 @@ class Vectors:
 
     def __init__(self, column: pa.Array, sizes: np.ndarray):
         self.groups, self.row = groups_of(sizes), np.zeros(len(sizes), np.int64)
-        data, self.matrix = column.to_pylist(), {}
+        decompressor, self.matrix = zstandard.ZstdDecompressor(), {}
+        data = [decompressor.decompress(x) for x in column.to_pylist()]
         for g in np.unique(self.groups).tolist():
             at = np.flatnonzero(self.groups == g)
             self.row[at] = np.arange(len(at))
             own = [data[k] for k in at]
-            if all(len(x) == 2 * g for x in own):
-                self.matrix[g] = np.frombuffer(b"".join(own), "<u2").reshape(-1, g)
+            if all(len(x) == g for x in own):
+                self.matrix[g] = np.frombuffer(b"".join(own), np.uint8).reshape(-1, g)
             else:
-                self.matrix[g] = np.stack([np.frombuffer(x, f"<u{len(x) // g}").astype(np.uint32) for x in own])
+                self.matrix[g] = np.stack([np.frombuffer(x, np.uint8 if len(x) == g else "<u4").astype(np.uint32) for x in own])
 
     def folded(self, rows: np.ndarray, width: int, groups: int) -> np.ndarray:
         found = self.matrix[groups][self.row[rows]]
@@ -136,10 +142,11 @@ def set_features(docs: DataFrame) -> DataFrame:
     """doc_id, n (set size), h1, h2 (128 bits that name the set) and its count vector."""
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compressor = zstandard.ZstdCompressor(1)
         for batch in in_slices(batches):
             found, offsets = set_hashes(batch.column(1))
             n = np.diff(offsets)
-            vectors = [count_vector(found[lo:hi]) for lo, hi in zip(offsets[:-1], offsets[1:])]
+            vectors = [count_vector(found[lo:hi], compressor) for lo, hi in zip(offsets[:-1], offsets[1:])]
             names = []
             for seed in (11, 12):
                 sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(found, seed))])
@@ -350,6 +357,26 @@ def tree_pairs(points: DataFrame) -> DataFrame:
     return dealt.mapInArrow(rows, "a long, b long").distinct()
 
 
+def class_labels(classes: DataFrame, found: DataFrame | None) -> DataFrame:
+    """h1, component, n, vector; before any link is known a class is its own component."""
+    joined = classes.withColumn("component", F.col("rep"))
+    if found is not None:
+        joined = classes.join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    return written(joined.groupBy("h1").agg(F.min("component").alias("component"), F.min("n").alias("n"), F.min("vector").alias("vector")), "labels")
+
+
+def star_pairs(labels: DataFrame, step: int) -> DataFrame:
+    """Pairs (a, b: h1), at most ``SEEDS`` a class: with the class of another component that has
+    the least hash among the leaders of its buckets, for as many hash functions. A bucket's
+    leader is its class of least hash."""
+    seeds = range(step * SEEDS, (step + 1) * SEEDS)
+    key = lambda k, c: F.struct(F.xxhash64(F.lit(k), F.col(c)).alias("k"), F.col(c).alias("leader"), F.col("component").alias("of"))
+    leaders = written(labels.groupBy("bucket").agg(*(F.min(key(k, "h1")).alias(f"l{k}") for k in seeds)), "leaders")
+    near = labels.join(leaders, "bucket").groupBy("h1").agg(*(F.min(F.when(F.col(f"l{k}.of") != F.col("component"), F.col(f"l{k}"))).alias(f"l{k}") for k in seeds))
+    pairs = near.select("h1", F.explode(F.array_distinct(F.array(*(F.col(f"l{k}.leader") for k in seeds)))).alias("leader")).where("leader is not null")
+    return pairs.select(F.least("h1", "leader").alias("a"), F.greatest("h1", "leader").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id for each row.
 
@@ -364,32 +391,38 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes = written(known.groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("rep"), F.min("vector").alias("vector")), "classes")
     usable = docs.where("doc_id is not null")
 
-    entries = postings(usable, counters(usable))
-    shared = written(entries.groupBy("bucket").agg(F.min("h1").alias("leader"), F.max("h1").alias("most")).where("leader != most").drop("most"), "shared")
-    drop_shuffles(spark)
-    met = written(entries.join(shared, "bucket").select("bucket", "h1", "leader").distinct(), "buckets")
+    entries = written(postings(usable, counters(usable)), "postings")
+    shared = written(entries.groupBy("bucket").agg(F.min("h1").alias("x"), F.max("h1").alias("y")).where("x != y").select("bucket"), "shared")
     drop_shuffles(spark)
-
-    stars = met.where("h1 != leader").select(F.least("h1", "leader").alias("a"), F.greatest("h1", "leader").alias("b")).distinct()
-    tested = written(bounded(stars, classes), "stars")
-    first = written(verified(tested, classes, usable), "links")
+    met = written(entries.join(shared, "bucket").select("bucket", "h1").distinct(), "buckets")
+    forget(entries, shared)
     drop_shuffles(spark)
 
-    found = components(first)
-    labelled = classes.select("h1", "n", "vector", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    labelled = written(labelled.groupBy("h1").agg(F.min("component").alias("component"), F.min("n").alias("n"), F.min("vector").alias("vector")), "labels")
-    labels = written(met.select("bucket", "h1").join(labelled.select("h1", "component"), "h1"), "bucket-labels")
+    found, done, linked = None, [], []
+    for step in range(STAR_STEPS):
+        labelled = class_labels(classes, found)
+        labels = written(met.join(labelled.select("h1", "component"), "h1"), "bucket-labels")
+        tested = written(bounded(star_pairs(labels, step), classes), "stars")
+        drop_shuffles(spark)
+        linked.append(written(verified(tested, classes, usable), "links"))
+        drop_shuffles(spark)
+        forget(labelled, labels)
+        found = components(reduce(DataFrame.unionByName, linked))
+        done += [tested, found]
+    labelled = class_labels(classes, found)
+    labels = written(met.join(labelled.select("h1", "component"), "h1"), "bucket-labels")
     mixed_buckets = written(labels.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y").select("bucket"), "mixed")
     before = F.lag("bucket").over(Window.partitionBy("h1").orderBy("bucket"))  # a partition is a part of one set's prefix
     points = labels.join(mixed_buckets, "bucket").withColumn("before", before).join(labelled.select("h1", "n", "vector"), "h1")
-    more = written(tree_pairs(points.select("bucket", "h1", "component", "before", "n", "vector")).join(tested, ["a", "b"], "left_anti"), "pairs")
+    passed = written(tree_pairs(points.select("bucket", "h1", "component", "before", "n", "vector")), "passed")
     drop_shuffles(spark)
-    second = written(verified(more, classes, usable), "links")
+    linked.append(written(verified(passed, classes, usable), "links"))
     drop_shuffles(spark)
 
-    forget(shared, met, tested, found, labelled, labels, mixed_buckets, more)
-    merged = components(first.unionByName(second)).withColumnRenamed("node", "rep")
+    forget(met, labelled, labels, mixed_buckets, passed, *done)
+    merged = components(reduce(DataFrame.unionByName, linked)).withColumnRenamed("node", "rep")
+    forget(*linked)
     of_class = classes.select("h1", "h2", "n", "rep").join(merged, "rep", "left").select("h1", "h2", "n", F.coalesce("component", "rep").alias("component_id"))
-    linked = known.select("doc_id", "h1", "h2", "n").join(of_class, ["h1", "h2", "n"]).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    placed = known.select("doc_id", "h1", "h2", "n").join(of_class, ["h1", "h2", "n"]).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     alone = features.where("doc_id is null or n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    return linked.unionByName(alone)
+    return placed.unionByName(alone)
