@@ -61,8 +61,13 @@ def drop_shuffles(spark: SparkSession) -> None:
 
 
 def id_and_text(docs: DataFrame) -> DataFrame:
-    """doc_id long and text string of ``docs``; columns of other names are left out."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    """doc_id long and text string of ``docs``; columns of other names are left out.
+
+    Columns of these types are taken as they are: plans over an alias and over its column
+    don't count as equal, and Spark would not reuse the shuffle of one for the other.
+    """
+    kinds = dict(docs.dtypes)
+    return docs.select(*(F.col(c) if kinds[c] == kind else F.col(c).cast(kind).alias(c) for c, kind in (("doc_id", "bigint"), ("text", "string"))))
 
 
 def id_remainder(doc_id, divisor: int):
