@@ -111,6 +111,16 @@ def test_best_fit_takes_the_fullest_that_fits_and_closes_the_fullest():
     assert [bins.add(n) for n in (6, 7, 8, 2, 3)] == [(0, 0), (1, 0), (2, 0), (2, 8), (0, 6)]  # bin 1 closed when 2 opened
 
 
+@pytest.mark.parametrize("kind", ["lognormal", "uniform"])
+def test_packing_stays_tight_on_large_tables(spark, kind):
+    r = np.random.default_rng(5)
+    lengths = np.clip(r.lognormal(6, 1, 300_000), 1, 4096).astype(int) if kind == "lognormal" else r.integers(1, 4097, 300_000)
+    items = spark.createDataFrame(pa.table({"doc_id": np.arange(len(lengths)), "piece": np.zeros(len(lengths), np.int32), "length": lengths}))
+    by_sequence = packing.pack(items, 4096).groupBy("sequence_id").agg(F.sum("length").alias("n")).agg(F.count("*").alias("sequences"), F.sum("n").alias("total"), F.max("n").alias("most")).first()
+    assert by_sequence.total == lengths.sum() and by_sequence.most <= 4096
+    assert by_sequence.sequences <= 1.005 * max(lengths.sum() / 4096, (lengths > 2048).sum())
+
+
 def edited(rows):
     """(doc_id, n_chars, sha256) by doc_id order, for distinct ids."""
     rows = sorted((i, t or "") for i, t in rows)

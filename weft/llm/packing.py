@@ -6,8 +6,10 @@ above its length), else into a new bin; at the limit of open bins the fullest
 closes for good.
 
 Items are dealt by id over as many partitions as their number asks for and packed
-there, longest first, which leaves one or two open bins a partition. Only lengths
-are shuffled, never ids or texts.
+there, longest first. In that order the bins of the long items wait for the short ones
+at the end, so the limit is as many bins as a partition has items: an open bin is one
+number, and a lower limit closes bins half used. Only lengths are shuffled, never ids
+or texts.
 """
 
 from __future__ import annotations
@@ -23,6 +25,8 @@ from pyspark.sql import functions as F
 from weft.llm.common import id_and_text, written
 from weft.llm.tokens import library_encoder
 
+PARTITION_ITEMS = 500_000
+
 
 class BestFit:
     """Bounded-space best fit: ``add(length)`` returns (bin, offset)."""
@@ -88,7 +92,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int, w
     return id_and_text(docs).mapInArrow(cut, schema)
 
 
-def pack(items: DataFrame, capacity: int, most_open: int = 1024, items_per_partition: int = 500_000) -> DataFrame:
+def pack(items: DataFrame, capacity: int, most_open: int = PARTITION_ITEMS, items_per_partition: int = PARTITION_ITEMS) -> DataFrame:
     """Adds sequence_id long and offset long to ``items`` (doc_id, piece, length and more).
 
     Sequence ids are unique, not dense. The order in a partition is total but for rows
@@ -114,7 +118,7 @@ def pack(items: DataFrame, capacity: int, most_open: int = 1024, items_per_parti
     return dealt.repartition(parts, "_part").sortWithinPartitions(*arrow_order).mapInArrow(fill, schema)
 
 
-def pack_documents(docs: DataFrame, vocabulary: str, capacity: int = 4096, end_id: int = 1, most_open: int = 1024) -> DataFrame:
+def pack_documents(docs: DataFrame, vocabulary: str, capacity: int = 4096, end_id: int = 1, most_open: int = PARTITION_ITEMS) -> DataFrame:
     """Packs all documents; one row for each piece with its sequence and place there.
 
     Null text counts as empty, so it is a piece of one id. Rows with a null or a
