@@ -161,6 +161,18 @@ def test_fingerprint_is_a_sum_over_paragraphs(spark):
     assert r.p == r.again
 
 
+def test_short_texts_keep_their_likeness(spark):
+    r = np.random.default_rng(2)
+    texts = [" ".join(f"w{k}" for k in r.integers(0, 5000, n)) for n in np.tile(np.arange(5, 51), 8)]
+    texts += ["".join(chr(0x4E00 + k) for k in r.integers(0, 3000, n)) for n in range(20, 80, 5)]  # no spaces
+    data = list(enumerate(texts))
+    got = sorted(fingerprint.fingerprint_documents(spark.createDataFrame(data, "doc_id long, text string")).collect())
+    sizes = [len(t.split()) if " " in t else len(t) for t in texts]
+    assert all(g.near_edited > g.near_next for g, n in zip(got, sizes) if n >= 10)
+    assert np.mean([g.near_edited > g.near_next for g in got]) > 0.97
+    assert np.mean([g.near_edited < 0.3 for g, n in zip(got, sizes) if 10 <= n < 20]) < 0.05
+
+
 def test_rules_base_counts(documents, clashing, empty, odd_rows, rows):
     for df, known in ((documents, rows), (clashing, [r[:2] for r in odd_rows]), (empty, [])):
         got = rules.apply_rules(df).collect()
