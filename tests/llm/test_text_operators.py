@@ -279,3 +279,11 @@ def test_licenses(spark, documents, clashing, empty, odd_rows, rows):
 def test_expressions(text, want):
     got = license.choices(text)
     assert (got and [set(s) for s in got]) == want
+
+
+def test_labels_do_not_depend_on_the_number_of_choices():
+    known = ["GPL-2.0", "MIT", "Apache-2.0", "BSD-3-Clause", "MPL-2.0", "EPL-2.0", "ISC"]
+    said = " AND ".join(f"({k} OR x{k})" for k in known)
+    found = license.scan(f"SPDX-License-Identifier: {said}", license.automaton())
+    assert found[5] == "apache,bsd,epl,gpl,isc,mit,mpl" and found[6] == 0.75 and found[7] == [said]
+    assert license.labels_of(license.postfix("GPL-2.0 WITH LGPL-3.0-linking-exception OR MIT")) == {"gpl", "mit"}

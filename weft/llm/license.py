@@ -4,8 +4,9 @@ and a shunting-yard parser evaluates the licence expressions behind the tags.
 Phrases are matched on words (runs of ASCII letters and digits and of all non-ASCII
 characters, A-Z lower-cased). A tag's expression is read from the raw text up to the
 end of its line: identifiers joined by ``and``, ``or`` and ``with`` (binding in the
-order with, and, or) with parentheses. Its labels are those of all identifiers in it;
-an expression that doesn't parse gives none.
+order with, and, or) with parentheses. Its labels are those of all identifiers in it but
+exceptions behind ``with``, however many choices it has; an expression that doesn't parse
+gives none.
 
 Results by case: null or empty text has no words, no labels, null places and score 0.
 Rows with repeated or null ids come back as they are. Nothing is shuffled.
@@ -95,6 +96,19 @@ def label_of(identifier: str) -> str:
     return IDENTIFIERS[best] if best else ""
 
 
+def labels_of(parsed: list[str]) -> frozenset[str]:
+    """The labels of all identifiers of a postfix expression but those behind ``with``."""
+    stack: list[frozenset[str]] = []
+    for token in parsed:
+        if token not in _PRECEDENCE:
+            label = label_of(token)
+            stack.append(frozenset([label] if label else []))
+            continue
+        right, left = stack.pop(), stack.pop()
+        stack.append(left if token == "with" else left | right)
+    return stack[0]
+
+
 def choices(expression: str, most: int = 64) -> list[frozenset[str]] | None:
     """The sets of labels of which one must be kept to: ``or`` unites choices, ``and``
     combines them, ``with`` leaves its licence's. None if the expression doesn't parse or
@@ -150,9 +164,9 @@ def scan(text: str | None, phrases: ahocorasick.Automaton) -> tuple:
     expressions = []
     if tagged:
         for m in _TAG_AT.finditer(raw):
-            if sets := choices(said := m[1].decode("utf-8", "replace")):
+            if parsed := postfix(said := m[1].decode("utf-8", "replace")):
                 hits += 2
-                labels.update(*sets)
+                labels.update(labels_of(parsed))
                 expressions.append(said.strip())
     return n_words, len(starts), min(starts, default=None), max(starts, default=None), ",".join(sorted(base)), ",".join(sorted(labels)), 1 - 0.5**hits, expressions
 
