@@ -173,6 +173,13 @@ def test_short_texts_keep_their_likeness(spark):
     assert np.mean([g.near_edited < 0.3 for g, n in zip(got, sizes) if 10 <= n < 20]) < 0.05
 
 
+def test_lanes_hold_the_counts_of_very_long_texts(spark):
+    df = spark.createDataFrame([("\n",), ("x\n",)], "t string").select("t", fingerprint.vector(F.expr("repeat(t, 1100000)")).alias("p")).cache()
+    pair = df.alias("x").join(df.alias("y"), F.col("x.t") < F.col("y.t"))
+    assert pair.select(fingerprint.likeness(F.col("x.p"), F.col("y.p"))).first()[0] < 0.5
+    df.unpersist()
+
+
 def test_rules_base_counts(documents, clashing, empty, odd_rows, rows):
     for df, known in ((documents, rows), (clashing, [r[:2] for r in odd_rows]), (empty, [])):
         got = rules.apply_rules(df).collect()

@@ -7,7 +7,7 @@ inserted or deleted by adding or subtracting its vector (``combine``). The lanes
 
     count     elements, modulo 2**32
     exact     4 hashes of the paragraph, modulo 2**32 each
-    alike     126 lanes modulo 2**20: for each element, one bit a lane of its two hashes
+    alike     128 lanes modulo 2**30: for each element, one bit a lane of its two hashes
 
 Elements are the paragraphs themselves and all of the text's runs of three words, where
 each character of a word of more than 32 counts as a word, as do those of a text of
@@ -17,7 +17,7 @@ and are why inserting a paragraph also updates the runs at its edges.) With c of
 lane, 2c - n is a sum of random signs, so the cosine of two such vectors estimates the
 share of elements that the texts have in common (standard error about 0.09).
 
-Three lanes lie in a long, 21 bits apart, with the bits between them cleared after
+Two lanes lie in a long, 32 bits apart, with the bits between them cleared after
 every addition: no lane carries into another and nothing overflows. Elements are counted 127
 at a time, eight lanes of a byte in a long, before they are added there.
 """
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from weft.llm.common import SPACE, id_and_text, written
 
 RUN_UNITS, LONG_WORD = 3, 32
-LANE_BITS, LANES_APART, LANES_A_LONG = 20, 21, 3
+LANE_BITS, LANES_APART, LANES_A_LONG = 30, 32, 2
 LONGS_A_HASH = 64 // LANES_A_LONG
 _ONES = sum(1 << j * LANES_APART for j in range(LANES_A_LONG))
 _MASK = ((1 << LANE_BITS) - 1) * _ONES
