@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weft.functions import json_field
 from weft.operators import as_of_join, sessionize
 from weft.sources import read_table
-from weft.streaming import RunningTotals, event_stream, first_per_key, hourly_counts, run_available
+from weft.streaming import RunningTotals, event_stream, first_per_key, hourly_counts, late_copies, run_available, stream_folder, within
 
 EVENT_QUERIES: dict = {}
 
@@ -23,11 +21,6 @@ def query(sql: str | None):
     return register
 
 
-def stream_folder(spark: SparkSession) -> str:
-    """Where streams keep state and results: the folder that executors share, if one is named."""
-    return spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='weft-stream-')}"
-
-
 def plain_time(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in columns})
 
@@ -103,3 +96,26 @@ def p37_stream_state(spark: SparkSession, sf_dir: str) -> DataFrame:
         else:
             spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
     return found.groupBy("user_id").agg(F.max("n").alias("n"), F.round(F.max_by("value", "n"), 4).alias("value"))
+
+
+@query("""
+SELECT date_trunc('hour', ts) AS hour, event_type, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS value FROM events
+WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events) GROUP BY ALL""")
+def p38_stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows that the watermark closes, each emitted once. The last batch brings copies of old
+    events whose windows are closed and evicted by then: they come too late and change nothing."""
+    folder = stream_folder(spark)
+    events = late_copies(spark, sf_dir, folder)
+    return plain_time(run_available(hourly_counts(events), folder), "hour").withColumn("value", F.col("value").cast("double"))
+
+
+@query("""
+SELECT p.event_id AS purchase, v.event_id AS view FROM events p JOIN events v ON p.user_id = v.user_id AND v.ts >= p.ts - INTERVAL 1 HOUR AND v.ts <= p.ts
+WHERE p.event_type = 'purchase' AND v.event_type = 'view'""")
+def p39_stream_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Purchases with the user's views in the hour before: two streams, whose watermarks and the
+    bound on the distance in time let Spark drop old state."""
+    events = event_stream(spark, sf_dir)
+    side = lambda kind, name: events.where(F.col("event_type") == kind).select(F.col("event_id").alias(name), F.col("user_id").alias(f"{name}_user"), F.col("ts").alias(f"{name}_ts"))
+    joined = within(side("purchase", "purchase"), side("view", "view"), "purchase_user", "view_user", "purchase_ts", "view_ts", "1 hour")
+    return run_available(joined.select("purchase", "view"), stream_folder(spark))

@@ -6,8 +6,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from weft.functions import l2_norm, revenue, share_of
-from weft.operators import latest_per_key, range_join, salted_join, top_k
+from weft.functions import dot, l2_norm, revenue, share_of
+from weft.functions.registry import register_functions
+from weft.operators import group_percentiles, interval_join, latest_per_key, range_join, salted_join, sized_join, top_k
 from weft.sources import read_table, register_views
 
 _REVENUE = "CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))"
@@ -175,10 +176,11 @@ def p15_latest_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-(SELECT c_nationkey AS k FROM customer INTERSECT ALL SELECT s_nationkey FROM supplier) UNION ALL (SELECT n_nationkey FROM nation EXCEPT SELECT s_nationkey FROM supplier)""")
+(SELECT c_nationkey AS k FROM customer INTERSECT ALL SELECT s_nationkey FROM supplier) UNION ALL (SELECT n_nationkey FROM nation EXCEPT SELECT s_nationkey FROM supplier WHERE s_acctbal > 5000)""")
 def p16_set_operations(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers, suppliers, nations = (read_table(spark, sf_dir, t).select(F.col(c).alias("k")) for t, c in (("customer", "c_nationkey"), ("supplier", "s_nationkey"), ("nation", "n_nationkey")))
-    return customers.intersectAll(suppliers).unionAll(nations.subtract(suppliers))
+    rich = read_table(spark, sf_dir, "supplier").where("s_acctbal > 5000").select(F.col("s_nationkey").alias("k"))
+    return customers.intersectAll(suppliers).unionAll(nations.subtract(rich))
 
 
 _P17 = """
@@ -234,14 +236,14 @@ def p21_unpivot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT l_suppkey, round(quantile_cont(l_extendedprice, 0.5), 6) AS median, round(quantile_cont(l_extendedprice, 0.9), 6) AS p90, count(DISTINCT l_partkey) AS parts, max_by(l_orderkey, l_extendedprice * 1000000 + l_orderkey) AS dearest
-FROM lineitem GROUP BY l_suppkey""")
+SELECT a.*, b.parts, b.dearest FROM (SELECT l_suppkey, round(quantile_cont(l_extendedprice, 0.5), 6) AS median, round(quantile_cont(l_extendedprice, 0.9), 6) AS p90 FROM lineitem GROUP BY 1) a
+JOIN (SELECT l_suppkey, count(DISTINCT l_partkey) AS parts, arg_max(l_orderkey, (l_extendedprice, l_orderkey)) AS dearest FROM lineitem GROUP BY 1) b USING (l_suppkey)""")
 def p22_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Percentiles by a sort of each group, which spills, beside the aggregates; of equal prices the greater order is the dearest."""
     lines = read_table(spark, sf_dir, "lineitem")
-    return lines.groupBy("l_suppkey").agg(
-        F.round(F.percentile("l_extendedprice", F.lit(0.5)), 6).alias("median"), F.round(F.percentile("l_extendedprice", F.lit(0.9)), 6).alias("p90"),
-        F.countDistinct("l_partkey").alias("parts"), F.max_by("l_orderkey", F.col("l_extendedprice") * 1000000 + F.col("l_orderkey")).alias("dearest"),
-    )
+    cuts = group_percentiles(lines, ["l_suppkey"], "l_extendedprice", {"median": 0.5, "p90": 0.9})
+    sums = lines.groupBy("l_suppkey").agg(F.countDistinct("l_partkey").alias("parts"), F.max(F.struct("l_extendedprice", "l_orderkey")).alias("m"))
+    return cuts.join(sums, "l_suppkey").select("l_suppkey", F.round("median", 6).alias("median"), F.round("p90", 6).alias("p90"), "parts", F.col("m.l_orderkey").alias("dearest"))
 
 
 @query("""
@@ -255,3 +257,126 @@ def p23_array_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT o_orderstatus, round(CAST(count(*) FILTER (o_totalprice > 150000) AS DOUBLE) / count(*), 9) AS share FROM orders GROUP BY 1""")
 def p24_conditional_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "orders").groupBy("o_orderstatus").agg(F.round(share_of(F.count_if(F.col("o_totalprice") > 150000), F.count("*")), 9).alias("share"))
+
+
+@query("""
+SELECT r_name, s.seg AS segment, count(c_custkey) AS n FROM region CROSS JOIN (SELECT DISTINCT c_mktsegment AS seg FROM customer) s
+LEFT JOIN (SELECT c_custkey, c_mktsegment, n_regionkey FROM customer JOIN nation ON c_nationkey = n_nationkey) c ON n_regionkey = r_regionkey AND c_mktsegment = s.seg GROUP BY ALL""")
+def p25_cross_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers of every region and segment, also where there is none: the cross join is of two
+    lists of a handful of names, never of rows."""
+    customer = read_table(spark, sf_dir, "customer").select("c_nationkey", F.col("c_mktsegment").alias("segment"))
+    nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+    counted = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).groupBy(F.col("n_regionkey").alias("r_regionkey"), "segment").agg(F.count("*").alias("c"))
+    every = read_table(spark, sf_dir, "region").crossJoin(customer.select("segment").distinct())
+    return every.join(counted, ["r_regionkey", "segment"], "left").select("r_name", "segment", F.coalesce("c", F.lit(0)).alias("n"))
+
+
+@query("""
+SELECT c_custkey, n_nationkey FROM customer JOIN nation ON c_acctbal < n_nationkey * 400 - 400 AND n_nationkey * 400 - 1000 < c_acctbal + 150""")
+def p26_interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Balances with 150 above them against bands of 600 a nation: intervals that overlap."""
+    left = read_table(spark, sf_dir, "customer").select("c_custkey", F.col("c_acctbal").alias("low"), (F.col("c_acctbal") + 150).alias("high"))
+    bands = read_table(spark, sf_dir, "nation").select("n_nationkey", (F.col("n_nationkey") * 400.0 - 1000).alias("since"), (F.col("n_nationkey") * 400.0 - 400).alias("until"))
+    return interval_join(left, bands, ("low", "high"), ("since", "until"), 500.0).select("c_custkey", "n_nationkey")
+
+
+@query("""
+SELECT p_brand, count(*) AS n_lines, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS quantity FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_size <= 10 GROUP BY 1""")
+def p27_sized_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts are broadcast only if their estimated size is under a bound."""
+    parts = read_table(spark, sf_dir, "part").where("p_size <= 10").select(F.col("p_partkey").alias("k"), "p_brand")
+    lines = read_table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("k"), "l_quantity")
+    return sized_join(lines, parts, ["k"]).groupBy("p_brand").agg(F.count("*").alias("n_lines"), total(F.col("l_quantity").cast("decimal(18,2)"), "quantity"))
+
+
+@query("""
+SELECT 'all' AS kind, k FROM (SELECT c_nationkey AS k FROM customer EXCEPT ALL SELECT s_nationkey FROM supplier)
+UNION ALL SELECT 'either' AS kind, k FROM (SELECT c_nationkey AS k FROM customer WHERE c_acctbal > 9000 UNION SELECT s_nationkey FROM supplier WHERE s_acctbal > 5000)""")
+def p28_set_operations_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """EXCEPT ALL keeps as many rows as one side has more; UNION drops repeated ones."""
+    customers, suppliers = read_table(spark, sf_dir, "customer"), read_table(spark, sf_dir, "supplier")
+    more = customers.select(F.col("c_nationkey").alias("k")).exceptAll(suppliers.select("s_nationkey"))
+    either = customers.where("c_acctbal > 9000").select(F.col("c_nationkey").alias("k")).union(suppliers.where("s_acctbal > 5000").select("s_nationkey")).distinct()
+    return more.select(F.lit("all").alias("kind"), "k").unionByName(either.select(F.lit("either").alias("kind"), "k"))
+
+
+@query("""
+SELECT s_suppkey, round(percent_rank() OVER w, 9) AS pr, round(cume_dist() OVER w, 9) AS cd, nth_value(s_suppkey, 2) OVER (PARTITION BY s_nationkey ORDER BY s_acctbal, s_suppkey ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS second,
+  count(*) OVER (PARTITION BY s_nationkey ORDER BY s_acctbal RANGE BETWEEN 1000 PRECEDING AND 1000 FOLLOWING) AS near
+FROM supplier WINDOW w AS (PARTITION BY s_nationkey ORDER BY s_acctbal)""")
+def p29_window_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Relative ranks, the second row of a partition, and a frame by distance in value."""
+    by = Window.partitionBy("s_nationkey")
+    w, total_order = by.orderBy("s_acctbal"), by.orderBy("s_acctbal", "s_suppkey").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return read_table(spark, sf_dir, "supplier").select(
+        "s_suppkey", F.round(F.percent_rank().over(w), 9).alias("pr"), F.round(F.cume_dist().over(w), 9).alias("cd"), F.nth_value("s_suppkey", 2).over(total_order).alias("second"),
+        F.count("*").over(w.rangeBetween(-1000, 1000)).alias("near"),
+    )
+
+
+@query("""
+SELECT conv_id, count(*) FILTER (role = 'user') AS n_user, count(*) FILTER (role = 'assistant') AS n_assistant, CAST(count(DISTINCT role) AS BIGINT) AS n_roles,
+  string_agg(DISTINCT role, ',' ORDER BY role) AS roles, CAST(max(length(text)) FILTER (role = 'user') AS BIGINT) AS longest
+FROM conversations GROUP BY conv_id""")
+def p40_map_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns by role as a map, made from one row a conversation and role."""
+    by_role = read_table(spark, sf_dir, "conversations").groupBy("conv_id", "role").agg(F.count("*").alias("n"), F.max(F.length("text")).alias("m"))
+    maps = by_role.groupBy("conv_id").agg(F.map_from_entries(F.collect_list(F.struct("role", F.struct("n", "m")))).alias("of"))  # a handful of roles each
+    counts, longest = F.transform_values("of", lambda _, x: x["n"]), F.transform_values("of", lambda _, x: x["m"])
+    return maps.select(
+        "conv_id", *(F.coalesce(F.try_element_at(counts, F.lit(r)), F.lit(0)).alias(f"n_{r}") for r in ("user", "assistant")), F.size("of").cast("long").alias("n_roles"),
+        F.array_join(F.array_sort(F.map_keys("of")), ",").alias("roles"), F.try_element_at(longest, F.lit("user")).cast("long").alias("longest"),
+    )
+
+
+@query("""
+SELECT regexp_extract(url, '^[a-z]+://([^/:?#]+)', 1) AS host, count(*) AS n, CAST(sum(length(html)) AS BIGINT) AS chars, count(*) FILTER (contains(lower(html), '<script')) AS with_script FROM pages GROUP BY 1""")
+def p41_url_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages")
+    return pages.groupBy(F.coalesce(F.parse_url("url", F.lit("HOST")), F.lit("")).alias("host")).agg(F.count("*").alias("n"), F.sum(F.length("html")).alias("chars"), F.count_if(F.contains(F.lower("html"), F.lit("<script"))).alias("with_script"))
+
+
+@query("""
+SELECT length(text) - length(replace(text, ' ', '')) + 1 AS n_words, count(*) AS n, min(item_id) AS first, max(substr(text, 1, 12)) AS start FROM benchmark GROUP BY 1""")
+def p42_string_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = (F.length("text") - F.length(F.replace("text", F.lit(" "), F.lit(""))) + 1).cast("long")
+    return read_table(spark, sf_dir, "benchmark").groupBy(words.alias("n_words")).agg(F.count("*").alias("n"), F.min("item_id").alias("first"), F.max(F.substring("text", 1, 12)).alias("start"))
+
+
+@query("""
+SELECT query_id, vec_id, similarity, CAST(rank AS BIGINT) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, vec_id) AS rank FROM (
+    SELECT q.vec_id AS query_id, v.vec_id, round(list_cosine_similarity(CAST(q.embedding AS DOUBLE[]), CAST(v.embedding AS DOUBLE[])), 6) AS similarity
+    FROM embeddings q JOIN embeddings v ON q.vec_id % 50 = 0 AND q.vec_id != v.vec_id)) WHERE rank <= 5""")
+def p43_vector_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors by cosine of every vector whose id is divisible by 50 (a top-k
+    report): every query meets all rows, in blocks of 64 queries that travel as one row each."""
+    vectors = read_table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
+    vectors = vectors.withColumn("norm", l2_norm(F.col("v")))
+    asked = vectors.where("vec_id % 50 = 0")
+    blocks = asked.groupBy(F.floor(F.col("vec_id") / (50 * 64)).alias("block")).agg(F.collect_list(F.struct("vec_id", "v", "norm")).alias("qs"))  # 64 a block at most
+    met = vectors.crossJoin(blocks).select(F.col("vec_id").alias("i"), "v", "norm", F.explode("qs").alias("q")).where("i != q.vec_id")
+    near = met.select(F.col("q.vec_id").alias("query_id"), F.col("i").alias("vec_id"), F.round(dot(F.col("q.v"), F.col("v")) / (F.col("q.norm") * F.col("norm")), 6).alias("similarity"))
+    return top_k(near, ["query_id"], [F.desc("similarity"), F.col("vec_id")], 5).withColumn("rank", F.col("rank").cast("long"))
+
+
+@query("""
+SELECT s_nationkey, round(exp(avg(ln(greatest(s_acctbal, 1)))), 4) AS middle, max(length(regexp_replace(s_name, '[^0-9]', '', 'g'))) AS digits, count(*) AS n FROM supplier GROUP BY 1""")
+def p44_udf_aggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A registered scalar and a registered aggregate function, both over Arrow batches, in SQL."""
+    register_functions(spark)
+    register_views(spark, sf_dir, ("supplier",))
+    return spark.sql("""
+        SELECT * FROM (SELECT s_nationkey, round(weft_geometric_mean(greatest(s_acctbal, 1.0D)), 4) AS middle FROM supplier GROUP BY s_nationkey)
+        JOIN (SELECT s_nationkey, max(CAST(length(weft_digits(s_name)) AS BIGINT)) AS digits, count(*) AS n FROM supplier GROUP BY s_nationkey) USING (s_nationkey)""")
+
+
+@query("""
+SELECT conv_id, turn, word_no, word FROM (SELECT conv_id, turn, unnest(range(1, len(ws) + 1)) AS word_no, unnest(ws) AS word FROM (
+  SELECT conv_id, turn, regexp_extract_all(text, '[A-Za-z]+') AS ws FROM conversations WHERE role = 'system'))""")
+def p45_udf_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A registered table function, joined laterally in SQL."""
+    register_functions(spark)
+    register_views(spark, sf_dir, ("conversations",))
+    return spark.sql("SELECT conv_id, turn, t.word_no, t.word FROM conversations, LATERAL weft_words(text) t WHERE role = 'system'")
