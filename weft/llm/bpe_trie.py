@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
-from weft.llm.common import id_and_text
+from weft.llm.common import caches, id_and_text, lean
 from weft.llm.tokens import TextEncoder, added_tokens, slices
 
 WORD_END = "</w>"
@@ -29,6 +29,7 @@ WORD_END = "</w>"
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 _codecs: dict[str, TrieCodec] = {}
+caches["codecs"] = _codecs.clear
 
 
 def byte_units() -> list[str]:
@@ -82,7 +83,7 @@ class TrieCodec:
     def fits(self, left: int, right: int) -> bool:
         """Whether the two tokens stay as they are side by side; -1 on the left: the word's start."""
         if (found := self.pair_ok.get((left, right))) is None:
-            if len(self.pair_ok) > 2_000_000:  # a bound on memory; the entries are recomputed on demand
+            if len(self.pair_ok) > 300_000:  # a bound on memory; the entries are recomputed on demand
                 self.pair_ok.clear()
             if left < 0:
                 found = self.merged(self.units_of(right)) == [self.token[right]]
@@ -207,8 +208,9 @@ def encode_documents(docs: DataFrame, vocabulary: str, with_output: bool = False
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every whole text, and with
     ``with_output`` the ids (binary, little-endian unsigned 32-bit) and the decoded text.
 
-    Null text counts as empty: no ids and an empty decoded text. Repeated rows and
-    null ids come back as they are; nothing is shuffled.
+    Null text counts as empty: no ids and an empty decoded text. A very long text is encoded
+    whole, in one task. Repeated rows and null ids come back as they are; nothing is shuffled.
+    Columns other than doc_id and text are left out, so no name clashes. No rows in, no rows out.
     """
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary, decoded string" * with_output
     names = [f.split()[0] for f in schema.split(", ")]
@@ -224,4 +226,4 @@ def encode_documents(docs: DataFrame, vocabulary: str, with_output: bool = False
                     column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=names)
 
-    return id_and_text(docs).mapInArrow(code, schema)
+    return id_and_text(docs).mapInArrow(lean(code, "codecs"), schema)

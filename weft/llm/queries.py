@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weft import share_code
 from weft.llm import bpe_trie, fingerprint, langid, license, ngram_join, packing, quality, rules, sstable, substring
+from weft.llm.common import ready
 from weft.llm.oracles import ORACLES  # noqa: F401
 
 
@@ -16,7 +16,7 @@ def vocabulary() -> str:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    share_code(spark)
+    ready(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

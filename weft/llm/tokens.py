@@ -3,24 +3,37 @@
 The vocabulary is a BPE with word ends: its pre-tokenizer drops white space, so a
 text's ids are those of its white-space separated chunks, one after another.
 ASCII punctuation behind a letter always begins a new pre-token, so "word," has
-the ids of "word" and of ",". Both hold for NFC and lower-casing too, because
-neither crosses white space nor joins ASCII punctuation to a letter. Texts with
-the string of an added token are encoded whole, as that string may lie anywhere.
+the ids of "word" and of ",". Neither NFC nor lower-casing crosses white space, but a
+letter may end in a combining mark after them (U+0130 does), which is no letter and takes
+the punctuation to itself; so the split asks for a last letter that lower-casing and NFC
+leave a letter. Texts with the string of an added token are encoded whole, as that string
+may lie anywhere.
 """
 
 from __future__ import annotations
 
 import json
+import unicodedata
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from weft.llm.common import caches
+
 PUNCTUATION = "!\"#$%&'()*+,-./:;=?@[\\]^_`{|}~"
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 _encoders: dict[tuple, TextEncoder] = {}
+caches["encoders"] = _encoders.clear
+
+
+def ends_in_letter(body: str) -> bool:
+    """Whether the body's normal form ends in a letter."""
+    if body[-1] < "Ā":
+        return body[-1].isalpha()
+    return unicodedata.normalize("NFC", unicodedata.normalize("NFC", body)[-1:].lower())[-1:].isalpha()
 
 
 def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[pa.Array]:
@@ -42,7 +55,7 @@ class TextEncoder:
     ``most_keys``, which bounds a worker's memory.
     """
 
-    def __init__(self, words: Callable, whole: Callable, added: list[str], most_keys: int = 500_000):
+    def __init__(self, words: Callable, whole: Callable, added: list[str], most_keys: int = 150_000):
         self.words, self.whole, self.added, self.most_keys = words, whole, added, most_keys
         self.clear()
 
@@ -69,7 +82,7 @@ class TextEncoder:
         for chunk in chunks:
             body = chunk.rstrip(PUNCTUATION)
             tail = chunk[len(body) :]
-            if tail and body and not body[-1].isalpha():
+            if tail and body and not ends_in_letter(body):
                 body, tail = chunk, ""
             if body and (body.isascii() or max(body) < "Ā"):
                 body = body.lower()

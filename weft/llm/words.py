@@ -12,7 +12,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-STRETCH = 2 << 20
+from weft.llm.common import caches
+
+STRETCH = 512 << 10
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
@@ -29,6 +31,7 @@ _BYTES = mixed(np.arange(256, dtype=np.uint64), 7)
 _BYTES_LOWER = np.concatenate([_BYTES[:65], _BYTES[97:123], _BYTES[91:]])
 _BASE = 0x9E3779B97F4A7C15 | 1
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+caches["powers"] = _powers.clear
 
 
 def powers(n: int, base: int = _BASE) -> tuple[np.ndarray, np.ndarray]:
