@@ -5,11 +5,10 @@ free space; an item goes to the fullest bin it fits in (the lowest set bit at or
 above its length), else into a new bin; at the limit of open bins the fullest
 closes for good.
 
-Items are dealt by id over as many partitions as their number asks for and packed
-there, longest first. In that order the bins of the long items wait for the short ones
-at the end, so the limit is as many bins as a partition has items: an open bin is one
-number, and a lower limit closes bins half used. Only lengths are shuffled, never ids
-or texts.
+Items come in the order of a hash of id and piece, which is as good as a random order of
+arrival: nothing waits for items still to come, so few bins are open half full when the limit
+closes the fullest. They are dealt by that hash over as many partitions as their number asks
+for. Only lengths are shuffled, never ids or texts.
 """
 
 from __future__ import annotations
@@ -22,10 +21,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weft.llm.common import id_and_text, written
+from weft.llm.common import id_and_text, lean, written
 from weft.llm.tokens import library_encoder
 
 PARTITION_ITEMS = 500_000
+#: Open bins of a partition; each is one number.
+MOST_OPEN = 8192
 
 
 class BestFit:
@@ -89,10 +90,10 @@ def token_pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int, w
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary())[: 5 + with_ids]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=["doc_id", "piece", "start", "length", "ids_crc32", "ids"][: 5 + with_ids])
 
-    return id_and_text(docs).mapInArrow(cut, schema)
+    return id_and_text(docs).mapInArrow(lean(cut, "encoders"), schema)
 
 
-def pack(items: DataFrame, capacity: int, most_open: int = PARTITION_ITEMS, items_per_partition: int = PARTITION_ITEMS) -> DataFrame:
+def pack(items: DataFrame, capacity: int, most_open: int = MOST_OPEN, items_per_partition: int = PARTITION_ITEMS) -> DataFrame:
     """Adds sequence_id long and offset long to ``items`` (doc_id, piece, length and more).
 
     Sequence ids are unique, not dense. The order in a partition is total but for rows
@@ -102,10 +103,9 @@ def pack(items: DataFrame, capacity: int, most_open: int = PARTITION_ITEMS, item
     items = items.select(kept)
     parts = max(1, -(-items.count() // items_per_partition))
     schema = items.schema.add("sequence_id", "long").add("offset", "long")
-    arrow_order = [F.desc("length"), F.col("doc_id").asc_nulls_first(), F.col("piece")]
-    dealt = items.withColumn("_part", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(parts)).cast("int"))
-    if "ids_crc32" in kept:
-        arrow_order.append(F.col("ids_crc32"))
+    rest = [c for c in ("length", "ids_crc32") if c in kept]  # they spread rows of a null or repeated id
+    dealt = items.withColumn("_order", F.xxhash64("doc_id", "piece", *rest)).withColumn("_part", F.pmod(F.xxhash64("_order"), F.lit(parts)).cast("int"))
+    order = ["_order", F.col("doc_id").asc_nulls_first(), "piece", *rest]
 
     def fill(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bins: dict[int, BestFit] = {}  # hash partitioning may bring several parts together
@@ -115,14 +115,17 @@ def pack(items: DataFrame, capacity: int, most_open: int = PARTITION_ITEMS, item
             ids = pa.array([(p << 40) | b for p, b, _ in placed], pa.int64())
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), ids, pa.array([o for _, _, o in placed], pa.int64())], names=[*kept, "sequence_id", "offset"])
 
-    return dealt.repartition(parts, "_part").sortWithinPartitions(*arrow_order).mapInArrow(fill, schema)
+    return dealt.repartition(parts, "_part").sortWithinPartitions(*order).mapInArrow(lean(fill), schema)
 
 
-def pack_documents(docs: DataFrame, vocabulary: str, capacity: int = 4096, end_id: int = 1, most_open: int = PARTITION_ITEMS) -> DataFrame:
+def pack_documents(docs: DataFrame, vocabulary: str, capacity: int = 4096, end_id: int = 1, most_open: int = MOST_OPEN) -> DataFrame:
     """Packs all documents; one row for each piece with its sequence and place there.
 
-    Null text counts as empty, so it is a piece of one id. Rows with a null or a
-    repeated doc_id are packed like any other. No rows in, no rows out.
+    Null text counts as empty, so it is a piece of one id; a very long text gives as many
+    pieces as it needs. Rows with a null or a repeated doc_id are packed like any other. Pieces
+    of equal length are told apart by id, piece and content; those that are equal in all share
+    one order, and it doesn't matter which comes first. Columns other than doc_id and text are
+    left out, so no name clashes. No rows in, no rows out.
     """
     pieces = written(token_pieces(docs, vocabulary, capacity, end_id), "pieces")
     return pack(pieces, capacity, most_open)
