@@ -8,8 +8,10 @@ order with, and, or) with parentheses. Its labels are those of all identifiers i
 exceptions behind ``with``, however many choices it has; an expression that doesn't parse
 gives none.
 
-Results by case: null or empty text has no words, no labels, null places and score 0.
-Rows with repeated or null ids come back as they are. Nothing is shuffled.
+Results by case: null or empty text has no words, no labels, null places and score 0. A
+very long text is read whole, in one task. Places of overlapping phrases all count. Rows with
+repeated or null ids come back as they are. Columns other than doc_id and text are left out,
+so no name clashes. No rows in, no rows out. Nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from weft.llm.common import id_and_text
+from weft.llm.common import id_and_text, lean
 
 #: The base phrases and labels (fixed values).
 BASE = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
@@ -33,12 +35,14 @@ MORE = {
     "licensed under the apache": "apache", "permission is hereby granted free of charge to any person": "mit", "creative commons attribution": "cc-by", "cc0": "cc0", "public domain dedication": "cc0",
     "all rights reserved": "proprietary",
 }
-TAG = "spdx license identifier"
+#: The tag in front of an expression; its words tell where to look for it in the raw text.
+TAG, TAG_WORDS = "spdx-license-identifier:", "spdx license identifier"
 #: Labels of identifiers by their longest matching beginning.
 IDENTIFIERS = {"agpl": "agpl", "apache": "apache", "bsd": "bsd", "bsl": "bsl", "cc-by": "cc-by", "cc0": "cc0", "epl": "epl", "gpl": "gpl", "isc": "isc", "lgpl": "lgpl", "mit": "mit", "mpl": "mpl", "unlicense": "unlicense"}
 
 _TABLE = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b > 127 else 32 for b in range(256))
-_TAG_AT = re.compile(rb"spdx-license-identifier:[ \t]*([^\r\n]*)", re.IGNORECASE | re.ASCII)
+_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+_LINE = re.compile(rb"[^\r\n]*")
 _TOKEN = re.compile(r"\(|\)|[A-Za-z0-9][A-Za-z0-9.\-]*\+?")
 _PRECEDENCE = {"or": 1, "and": 2, "with": 3}
 
@@ -109,10 +113,10 @@ def labels_of(parsed: list[str]) -> frozenset[str]:
     return stack[0]
 
 
-def choices(expression: str, most: int = 64) -> list[frozenset[str]] | None:
+def choices(expression: str) -> list[frozenset[str]] | None:
     """The sets of labels of which one must be kept to: ``or`` unites choices, ``and``
-    combines them, ``with`` leaves its licence's. None if the expression doesn't parse or
-    has more than ``most`` choices."""
+    combines them, ``with`` leaves its licence's. None if the expression doesn't parse. Their
+    number may be as the power of the ``and``s; ``labels_of`` needs no such list."""
     parsed = postfix(expression)
     if parsed is None:
         return None
@@ -129,15 +133,15 @@ def choices(expression: str, most: int = 64) -> list[frozenset[str]] | None:
             stack.append(list(dict.fromkeys(a | b for a in left for b in right)))
         else:
             stack.append(left)
-        if len(stack[-1]) > most:
-            return None
     return stack[0]
 
 
 def automaton() -> ahocorasick.Automaton:
+    """Phrases between spaces, for a text's words, and the tag, for a raw text."""
     found = ahocorasick.Automaton()
-    for phrase, label in (BASE | MORE | {TAG: ""}).items():
+    for phrase, label in (BASE | MORE | {TAG_WORDS: ""}).items():
         found.add_word(f" {phrase} ", (phrase, label, phrase.count(" ") + 1))
+    found.add_word(TAG, (TAG, "", 1))
     found.make_automaton()
     return found
 
@@ -151,7 +155,7 @@ def scan(text: str | None, phrases: ahocorasick.Automaton) -> tuple:
     padded, starts, base, labels, hits, tagged = f" {joined} ", [], set(), set(), 0, False
     counted_to = counted = 0
     for end, (phrase, label, size) in phrases.iter(padded):
-        if phrase == TAG:
+        if phrase == TAG_WORDS:
             tagged = True
             continue
         hits += 1
@@ -163,8 +167,8 @@ def scan(text: str | None, phrases: ahocorasick.Automaton) -> tuple:
             starts.append(counted - 1 - size)
     expressions = []
     if tagged:
-        for m in _TAG_AT.finditer(raw):
-            if parsed := postfix(said := m[1].decode("utf-8", "replace")):
+        for end, (phrase, _, _) in phrases.iter(raw.translate(_LOWER).decode("latin-1")):
+            if phrase == TAG and (parsed := postfix(said := _LINE.match(raw, end + 1)[0].decode("utf-8", "replace"))):
                 hits += 2
                 labels.update(labels_of(parsed))
                 expressions.append(said.strip())
@@ -184,4 +188,4 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
             found = [(i, *scan(t.as_py(), phrases)) for i, t in zip(batch.column(0).to_pylist(), pc.fill_null(batch.column(1), ""))]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found) if found else [[]] * len(names), kinds)], names=names)
 
-    return id_and_text(docs).mapInArrow(rows, schema)
+    return id_and_text(docs).mapInArrow(lean(rows), schema)
