@@ -2,10 +2,12 @@
 
 Each text is measured once. For every language and source a mergeable quantile sketch
 (KLL) of each measure is built; the sketches are merged to one a language and one for
-all, which stand in for groups of fewer than ``least_rows`` documents. A measure fails
-beyond a fence of its group: ``reach`` interquartile ranges above the upper quartile,
+all. A measure fails beyond a fence: ``reach`` interquartile ranges above the upper quartile,
 and at least ``slack`` above the median, so that a group of equal clean texts has no
-fence at its own value. Quartiles bear up to a quarter of junk in a group.
+fence at its own value. Quartiles bear up to a quarter of junk in a group. The fence of a
+group of n rows has the weight n / (n + ``inertia``), the rest is its language's, which
+is weighed against that of all rows in the same way: small groups lean on larger ones, and
+no number of rows is a border.
 """
 
 from __future__ import annotations
@@ -18,8 +20,8 @@ from pyspark.sql import functions as F
 from weft.llm.common import SPACE, WORD, id_and_text, written
 
 #: Measures, each worse the higher it is, and their slack.
-MEASURES = {"symbols_per_word": 0.2, "dup_line_share": 0.5, "repeat_share": 0.3, "same_next_share": 0.2, "upper_share": 0.3, "chars_per_word": 4.0, "words_per_char": 0.15}
-REACH, LEAST_ROWS, SKETCH_K, WINDOW_WORDS = 4.0, 100, 400, 8
+MEASURES = {"symbols_per_word": 0.2, "dup_line_share": 0.5, "same_next_share": 0.2, "upper_share": 0.3, "chars_per_word": 4.0, "words_per_char": 0.15}
+REACH, INERTIA, SKETCH_K, WINDOW_WORDS = 4.0, 50.0, 400, 8
 
 
 def let(value: Column, body) -> Column:
@@ -67,7 +69,6 @@ def measured(docs: DataFrame) -> DataFrame:
     return counted.withColumns({
         "symbols_per_word": share("n_symbols", "n_words"),
         "dup_line_share": share("n_dup_lines", "n_lines"),
-        "repeat_share": share("n_repeat_words", "n_words"),
         "same_next_share": share("n_same_next", "n_words"),
         "upper_share": share("n_upper", "word_chars"),
         "chars_per_word": share("word_chars", "n_words"),
@@ -75,7 +76,7 @@ def measured(docs: DataFrame) -> DataFrame:
     })
 
 
-def thresholds(rows: DataFrame, least_rows: int = LEAST_ROWS, reach: float = REACH) -> DataFrame:
+def thresholds(rows: DataFrame, inertia: float = INERTIA, reach: float = REACH) -> DataFrame:
     """lang, source and a fence for each measure; one row a language and source.
 
     ``rows`` are those that pass the base rules. The three levels come from one pass:
@@ -96,22 +97,31 @@ def thresholds(rows: DataFrame, least_rows: int = LEAST_ROWS, reach: float = REA
     own = fences(sketches, "own", ["lang", "source"])
     by_lang = fences(sketches.groupBy("lang").agg(*merged), "by_lang", ["lang"]).withColumnRenamed("lang", "_lang")
     joined = own.join(by_lang, F.col("lang").eqNullSafe(F.col("_lang")), "left").crossJoin(F.broadcast(fences(everything, "pooled", [])))  # pooled: one row
-    chosen = F.when(F.col("n_own") >= least_rows, F.col("own")).when(F.col("n_by_lang") >= least_rows, F.col("by_lang")).otherwise(F.col("pooled"))
-    return joined.select("lang", "source", chosen.alias("fence"))
+    def blended(m: str) -> Column:
+        def weigh(n: str, own: Column, other: Column) -> Column:
+            weight = F.col(n) / (F.col(n) + inertia)
+            return F.when(F.col(n) > 0, own * weight + other * (1 - weight)).otherwise(other)
 
+        return weigh("n_own", F.col("own")[m], weigh("n_by_lang", F.col("by_lang")[m], F.col("pooled")[m]))
 
-def apply_rules(docs: DataFrame, least_rows: int = LEAST_ROWS, reach: float = REACH) -> DataFrame:
+    return joined.select("lang", "source", F.struct(*(blended(m).alias(m) for m in MEASURES)).alias("fence"))
+
+
+def apply_rules(docs: DataFrame, inertia: float = INERTIA, reach: float = REACH) -> DataFrame:
     """doc_id, the base counts, base_failed, kept, and ``failed`` (the measures beyond their fence).
 
-    Null text has no words and fails the base rules. Null lang or source is a group of its
-    own. Repeated rows and null ids are measured like any other. Thresholds come from the
-    rows that pass the base rules; where a group has none, from its language or from all.
+    Null, empty and wordless texts have no words and fail the base rules. A very long text is one
+    row's work. Null lang or source is a group of its own. Repeated rows and null ids are
+    measured like any other. A measure equal to its fence passes. Thresholds come from the rows
+    that pass the base rules; rows of a group that has none fail these rules, so need none.
+    Columns other than doc_id, text, lang and source are left out, so no name clashes. No rows
+    in, no rows out.
     """
     keys = [F.col(c).cast("string").alias(c) if c in docs.columns else F.lit(None).cast("string").alias(c) for c in ("lang", "source")]
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *keys)
     rows = measured(docs).withColumn("base_failed", (F.col("n_words") < 20) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 30))
     rows = written(rows, "measures")
-    fences = thresholds(rows.where(~F.col("base_failed")), least_rows, reach).withColumnsRenamed({"lang": "_lang", "source": "_source"})
+    fences = thresholds(rows.where(~F.col("base_failed")), inertia, reach).withColumnsRenamed({"lang": "_lang", "source": "_source"})
     joined = rows.join(fences, F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source")), "left")
     beyond = F.filter(F.array(*(F.when(F.col(m) > F.col("fence")[m], F.lit(m)) for m in MEASURES)), lambda x: x.isNotNull())
     joined = joined.withColumn("failed", beyond)
