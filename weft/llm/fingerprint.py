@@ -1,21 +1,19 @@
 """Homomorphic multiset fingerprints of documents, in DataFrame functions only.
 
 A text is the multiset of its paragraphs (lines). Each paragraph is hashed into a wide
-vector and a text's fingerprint is the sum of its paragraphs' vectors, lane by lane
-modulo a power of two. So the order of paragraphs has no effect, and a paragraph is
-inserted or deleted by adding or subtracting its vector (``combine``). The lanes:
+vector, and a text's fingerprint is the sum of its paragraphs' vectors, lane by lane
+modulo a power of two. So the order of paragraphs has no effect on any part of it, and a
+paragraph is inserted or deleted by adding or subtracting its vector (``combine``). The lanes:
 
     count     elements, modulo 2**32
     exact     4 hashes of the paragraph, modulo 2**32 each
     alike     128 lanes modulo 2**30: for each element, one bit a lane of its two hashes
 
-Elements are the paragraphs themselves and all of the text's runs of three words, where
-each character of a word of more than 32 counts as a word, as do those of a text of
-fewer than three words: texts without spaces have runs too. (A run may reach into the next
-paragraph; such runs belong to the paragraph where they begin, as it stands in that text,
-and are why inserting a paragraph also updates the runs at its edges.) With c of n elements in a
-lane, 2c - n is a sum of random signs, so the cosine of two such vectors estimates the
-share of elements that the texts have in common (standard error about 0.09).
+A paragraph's elements are itself and all its runs of three words, where each character
+of a word of more than 32 counts as a word, as do those of a paragraph of fewer than three
+words: paragraphs without spaces have runs too. No run leaves its paragraph. With c of n
+elements in a lane, 2c - n is a sum of random signs, so the cosine of two such vectors
+estimates the share of elements that the texts have in common (standard error about 0.09).
 
 Two lanes lie in a long, 32 bits apart, with the bits between them cleared after
 every addition: no lane carries into another and nothing overflows. Elements are counted 127
@@ -77,11 +75,8 @@ def lanes_of(elements: Column) -> Column:
     return F.aggregate(begins, F.array(*[zero] * (N_HASHES * LONGS_A_HASH)), lambda total, i: F.zip_with(total, of(F.slice(elements, i, F.lit(_BYTE_MOST))), lambda x, y: (x + y).bitwiseAND(mask)))
 
 
-def vector(text: Column) -> Column:
-    """The fingerprint as a struct: n long, exact array<long>, alike array<long>."""
-    text = F.coalesce(text, F.lit(""))
-    paragraphs = F.split(text, "\n", -1)
-    words = F.array_remove(F.split(text, SPACE), "")
+def elements_of(paragraph: Column) -> Column:
+    """Hashes of the paragraph and of its runs."""
 
     def runs(units: Column) -> Column:
         first = F.slice(units, F.lit(1), F.greatest(F.size(units) - (RUN_UNITS - 1), F.lit(0)))
@@ -90,14 +85,20 @@ def vector(text: Column) -> Column:
     def units(ws: Column) -> Column:
         long = lambda w: F.length(w) > LONG_WORD
         cut = F.flatten(F.transform(ws, lambda w: F.when(long(w), F.split(w, "")).otherwise(F.array(w))))
-        return F.when(F.size(ws) < RUN_UNITS, F.split(text, "")).when(F.exists(ws, long), cut).otherwise(ws)
+        return F.when(F.size(ws) < RUN_UNITS, F.split(paragraph, "")).when(F.exists(ws, long), cut).otherwise(ws)
+
+    own = F.array(F.xxhash64(F.lit("paragraph"), paragraph))
+    return F.concat(own, let(let(F.array_remove(F.split(paragraph, SPACE), ""), units), runs))
+
+
+def vector(text: Column) -> Column:
+    """The fingerprint as a struct: n long, exact array<long>, alike array<long>."""
 
     def of(ps: Column) -> Column:
-        own = F.transform(ps, lambda p: F.xxhash64(F.lit("paragraph"), p))
         exact = F.array(*(total(ps, lambda p, k=k: F.xxhash64(F.lit(k), p).bitwiseAND(F.lit(_MASK32).cast("long"))) for k in range(N_EXACT)))
-        return let(F.concat(own, let(let(words, units), runs)), lambda es: F.struct(F.size(es).cast("long").alias("n"), exact.alias("exact"), lanes_of(es).alias("alike")))
+        return let(F.flatten(F.transform(ps, elements_of)), lambda es: F.struct(F.size(es).cast("long").alias("n"), exact.alias("exact"), lanes_of(es).alias("alike")))
 
-    return let(paragraphs, of)
+    return let(F.split(F.coalesce(text, F.lit("")), "\n", -1), of)
 
 
 def combine(a: Column, b: Column, sign: int = 1) -> Column:
@@ -156,25 +157,27 @@ def next_ids(docs: DataFrame) -> DataFrame:
 def fingerprint_documents(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
-    Null text counts as empty. Of rows that repeat an id, the one with the least
-    text hash is the "next document" of the id before; each of them is returned. Rows
-    with a null id have no next document: nothing replaces their tail and near_next is 0.
-    A table of one id is its own next document. The text is shuffled once, by id, for
-    both joins.
+    Null text counts as empty, which is one empty paragraph. A very long text is one row's
+    work. Of rows that repeat an id, the one with the least text hash is the "next document" of
+    the id before; each of them is returned. Rows with a null id have no next document: nothing
+    replaces their tail and near_next is 0. A table of one id is its own next document. Columns
+    other than doc_id and text are left out, so no name clashes. No rows in, no rows out.
+
+    A text's own fingerprint is made once, before the one shuffle by id that serves both joins.
     """
     docs = id_and_text(docs).withColumn("text", F.coalesce("text", F.lit("")))
     links = next_ids(docs)
-    known = docs.where("doc_id is not null")  # one shuffle serves both joins: only the text lies below them
+    known = docs.where("doc_id is not null").withColumn("print", vector(F.col("text")))
     given = known.join(links.select(F.col("doc_id").alias("to"), "need", F.col("next_id").alias("doc_id")), "doc_id")
-    given = given.select("to", F.struct(F.xxhash64("text").alias("h"), F.expr("left(text, need)").alias("prefix"), vector(F.col("text")).alias("print")).alias("next"))
+    given = given.select("to", F.struct(F.xxhash64("text").alias("h"), F.expr("left(text, need)").alias("prefix"), F.col("print")).alias("next"))
     given = given.groupBy(F.col("to").alias("doc_id")).agg(F.min("next").alias("next"))
     joined = known.join(given, "doc_id")
-    alone = docs.where("doc_id is null").withColumn("next", F.lit(None).cast(joined.schema["next"].dataType))
+    alone = docs.where("doc_id is null").withColumn("print", vector(F.col("text"))).withColumn("next", F.lit(None).cast(joined.schema["next"].dataType))
     n = F.length("text")
     quarter = F.floor(n / 4).cast("int")
     tail = F.coalesce(F.substring(F.col("next.prefix"), F.lit(1), quarter), F.lit(""))
     edited = joined.unionByName(alone).withColumn("edited", F.concat(F.substring(F.col("text"), F.lit(1), n - quarter), tail))
-    edited = edited.withColumn("print", vector(F.col("text"))).withColumn("edited_print", vector(F.col("edited")))
+    edited = edited.withColumn("edited_print", vector(F.col("edited")))
     return edited.select(
         "doc_id",
         n.cast("long").alias("n_chars"),
