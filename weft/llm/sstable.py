@@ -16,17 +16,21 @@ A key is 0x00 for a null id, else 0x01 and the id plus 2**63 (8 bytes, big-endia
 behind it an ordinal (4 bytes, big-endian) tells repeated ids apart. A lookup asks
 the Bloom filter, bisects the index and reads one block.
 
-Shards are ranges of ids between quantiles, so ascending shards are in ascending id
-order. Each is written under a name of its own try and then renamed; a task that is
-run again writes the same bytes.
+Shards are ranges of (id, text hash), so ascending shards are in ascending id order, their
+number follows the bytes of text, and an id that very many rows repeat spreads over shards.
+Each is written under a name of its own try and then renamed; a task that is run again
+writes the same bytes. Files are written through Arrow's file systems (file, hdfs, s3, gs,
+abfs); another scheme is refused before any work is done.
 """
 
 from __future__ import annotations
 
 import bisect
+import math
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -34,15 +38,18 @@ import pyarrow as pa
 import pyarrow.fs as pafs
 import xxhash
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weft.llm.common import id_and_text, new_path
+from weft.llm.common import id_and_text, lean, new_path
 from weft.llm.tokens import library_encoder
 
 MAGIC = 0x7765667473737431
 FOOTER = struct.Struct("<8Q")
 BLOCK_BYTES = 64 << 10
+#: Bytes of text for which a shard is made.
+SHARD_TEXT = 64 << 20
 BITS_PER_KEY, HASHES = 10, 7
 
 
@@ -85,19 +92,22 @@ def decode_value(value: bytes, decompressor: zstandard.ZstdDecompressor) -> np.n
     return np.frombuffer(decompressor.decompress(value[at + 1 :], max_output_size=max(1, n * width)), f"<u{width}").astype("<u4")
 
 
-def bloom_places(key: bytes, bits: int) -> list[int]:
+def bloom_hash(key: bytes) -> tuple[int, int]:
     h = xxhash.xxh3_128_intdigest(key)
-    a, b = h & (1 << 64) - 1, h >> 64 | 1
+    return h & (1 << 64) - 1, h >> 64 | 1
+
+
+def bloom_places(a: int, b: int, bits: int) -> list[int]:
     return [(a + i * b) % bits for i in range(HASHES)]
 
 
 class ShardWriter:
     """Writes one shard; keys must come in ascending order. It holds one block,
-    the index and 8 bytes for each id."""
+    the index (about 20 bytes a block) and 16 bytes for each id."""
 
     def __init__(self, stream):
         self.stream, self.at, self.block, self.key, self.ordinal = stream, 0, bytearray(), b"", 0
-        self.index, self.keys, self.entries, self.ids, self.blocks, self.id_of = bytearray(), [], 0, 0, 0, b""
+        self.index, self.hashed, self.entries, self.ids, self.blocks, self.id_of = bytearray(), array("Q"), 0, 0, 0, b""
 
     def add(self, doc_id: int | None, value: bytes) -> None:
         key = id_key(doc_id)
@@ -105,7 +115,7 @@ class ShardWriter:
             raise ValueError("keys must ascend")
         self.ordinal = self.ordinal + 1 if key == self.id_of else 0
         if not self.ordinal:
-            self.keys.append(doc_id)
+            self.hashed.extend(bloom_hash(key))
         self.id_of = key
         key += struct.pack(">I", self.ordinal)
         shared = 0
@@ -130,10 +140,10 @@ class ShardWriter:
 
     def close(self) -> None:
         self.flush()
-        bits = max(64, BITS_PER_KEY * len(self.keys) + 7 & ~7)
+        bits = max(64, BITS_PER_KEY * (len(self.hashed) // 2) + 7 & ~7)
         bloom = bytearray(bits // 8)
-        for doc_id in self.keys:
-            for p in bloom_places(id_key(doc_id), bits):
+        for a, b in zip(self.hashed[::2], self.hashed[1::2]):
+            for p in bloom_places(a, b, bits):
                 bloom[p >> 3] |= 1 << (p & 7)
         at = self.at
         self.stream.write(bytes(self.index) + bytes(bloom) + FOOTER.pack(at, len(self.index), at + len(self.index), len(bloom), self.entries, self.ids, self.blocks, MAGIC))
@@ -177,7 +187,7 @@ class Shard:
     def get(self, doc_id: int | None) -> np.ndarray | None:
         """The ids of the first document with this id, or None."""
         key = id_key(doc_id)
-        if any(not self.bloom[p >> 3] >> (p & 7) & 1 for p in bloom_places(key, len(self.bloom) * 8)):
+        if any(not self.bloom[p >> 3] >> (p & 7) & 1 for p in bloom_places(*bloom_hash(key), len(self.bloom) * 8)):
             return None
         block = bisect.bisect_left(self.last_keys, key)
         if block < len(self.places):
@@ -191,53 +201,42 @@ def write_shards(docs: DataFrame, vocabulary: str, folder: str, end_id: int = 2,
     """Encodes every whole text and writes the shards; returns (uri, documents, ids) of
     each in ascending id order, one entry a shard.
 
-    Null text counts as empty, null ids come first, rows that repeat an id are all kept.
-    An empty table gives no shard.
+    Null text counts as empty, null ids come first, rows that repeat an id are all kept, by
+    their texts' hashes and texts. A very long text is one entry. Columns other than doc_id and
+    text are left out, so no name clashes. An empty table gives no shard.
     """
-    spark = docs.sparkSession
-    shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    docs = id_and_text(docs)
-    cuts = docs.select(F.col("doc_id").cast("double").alias("i")).na.drop().approxQuantile("i", [k / shards for k in range(1, shards)], 0.2 / shards) if shards > 1 else []
-    bounds = np.unique(np.asarray(cuts, np.float64))
-
-    def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, compressor = library_encoder(vocabulary), zstandard.ZstdCompressor(3, write_content_size=False)
-        for batch in batches:
-            values = [encode_value(np.append(ids, np.uint32(end_id)), compressor) for _, ids in encoder.encode(batch.column(1))]
-            ids = np.asarray(batch.column(0).cast(pa.float64()).fill_null(-np.inf))
-            yield pa.RecordBatch.from_arrays([pa.array(np.searchsorted(bounds, ids, "right").astype(np.int32)), batch.column(0), pa.array(values, pa.binary())], names=["shard", "doc_id", "value"])
+    pafs.FileSystem.from_uri(folder)  # tells at once whether Arrow knows the scheme
+    docs = id_and_text(docs).withColumn("h", F.xxhash64("text"))
+    if shards is None:
+        shards = max(1, math.ceil((docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) / SHARD_TEXT))
 
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, base = pafs.FileSystem.from_uri(folder)
-        fs.create_dir(base, recursive=True)
-        current, writer, done = None, None, []
-
-        def end() -> None:
-            if writer is not None:
-                writer.close()
-                fs.move(temporary, f"{base}/shard-{current:06d}.sst")
-                done.append((current, f"{folder}/shard-{current:06d}.sst", writer.entries, writer.ids))
-
+        shard, writer = TaskContext.get().partitionId(), None
+        encoder, compressor = library_encoder(vocabulary), zstandard.ZstdCompressor(3, write_content_size=False)
         for batch in batches:
-            for shard, doc_id, value in zip(*(c.to_pylist() for c in batch.columns)):
-                if shard != current:
-                    end()
-                    current, temporary = shard, f"{base}/.{shard:06d}-{uuid.uuid4().hex}"
+            doc_ids = batch.column(0).to_pylist()
+            for row, ids in encoder.encode(batch.column(1)):
+                if writer is None:
+                    fs, base = pafs.FileSystem.from_uri(folder)
+                    fs.create_dir(base, recursive=True)
+                    temporary = f"{base}/.{shard:06d}-{uuid.uuid4().hex}"
                     writer = ShardWriter(fs.open_output_stream(temporary))
-                writer.add(doc_id, value)
-        end()
-        columns = [list(c) for c in zip(*done)] or [[], [], [], []]
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int32(), pa.string(), pa.int64(), pa.int64()))], names=["shard", "uri", "documents", "ids"])
-
-    rows = docs.mapInArrow(encode, "shard int, doc_id long, value binary")
-    rows = rows.repartitionById(len(bounds) + 1, F.col("shard")) if hasattr(rows, "repartitionById") else rows.repartition(len(bounds) + 1, "shard")
-    rows = rows.sortWithinPartitions("shard", F.col("doc_id").asc_nulls_first(), "value")
-    told = rows.mapInArrow(write, "shard int, uri string, documents long, ids long").collect()  # one row a shard
+                writer.add(doc_ids[row], encode_value(np.append(ids, np.uint32(end_id)), compressor))
+        if writer is not None:
+            writer.close()
+            fs.move(temporary, f"{base}/shard-{shard:06d}.sst")
+            done = [(shard, f"{folder}/shard-{shard:06d}.sst", writer.entries, writer.ids)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*done), (pa.int32(), pa.string(), pa.int64(), pa.int64()))], names=["shard", "uri", "documents", "ids"])
+
+    order = [F.col("doc_id").asc_nulls_first(), "h"]
+    rows = docs.repartitionByRange(shards, *order).sortWithinPartitions(*order, "text").select("doc_id", "text")
+    told = rows.mapInArrow(lean(write, "encoders"), "shard int, uri string, documents long, ids long").collect()  # one row a shard
     return [(r.uri, r.documents, r.ids) for r in sorted(told)]
 
 
 def read_shards(spark: SparkSession, shards: list[tuple[str, int, int]], with_ids: bool = False) -> DataFrame:
-    """The documents of the shards in order: doc_id, start (ids before it), n_tokens, ids_crc32."""
+    """The documents of the shards in order: doc_id, start (ids before it), n_tokens, ids_crc32.
+    ``shards`` is as ``write_shards`` returns it: one entry a shard, however many documents."""
     rows, before = [], 0
     for uri, _, ids in shards:
         rows.append((uri, before))
@@ -261,7 +260,7 @@ def read_shards(spark: SparkSession, shards: list[tuple[str, int, int]], with_id
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=names)
 
     listed = spark.createDataFrame(rows, "uri string, before long").repartition(max(1, len(rows)))
-    return listed.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids binary" * with_ids)
+    return listed.mapInArrow(lean(read), "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids binary" * with_ids)
 
 
 def round_trip(docs: DataFrame, vocabulary: str, end_id: int = 2) -> DataFrame:
