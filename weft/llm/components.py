@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weft.llm.common import forget, written
+from weft.llm.common import forget, joined, written
 
 MOST_ROUNDS = 60
 
@@ -24,16 +24,18 @@ def components(links: DataFrame) -> DataFrame:
     edges = links.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     edges = written(edges, "links")
     before = None
+    if edges.isEmpty():
+        return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     for _ in range(MOST_ROUNDS):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = written(both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")), "least")
         done = [edges, least]
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
+        large = joined(both, least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
         large = written(large.distinct(), "links")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         done.append(large)
-        joined = large.join(least, "u")
-        small = joined.select("u", F.col("m").alias("v")).unionByName(joined.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")))
+        starred = joined(large, least, "u")
+        small = starred.select("u", F.col("m").alias("v")).unionByName(starred.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")))
         edges = written(small.distinct(), "links")
         forget(*done)
         told = edges.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")).first()

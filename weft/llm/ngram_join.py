@@ -12,22 +12,24 @@ over as many groups as both have. The join is exact:
     corpus last, then by hash). Two sets that link share a shingle among the first
     ``n - ceil(0.75 n) + 1`` of each, so only classes that meet in such a shingle's bucket
     are compared.
-3.  Each class is compared with a few of the classes that lead its buckets (have the least
-    hash there); the pairs that pass the bound are verified on the texts. The components
-    of these links, taken twice, settle nearly all copies.
-4.  Buckets that still hold several components are joined by R-trees over their points;
-    pairs of different components that pass the bound are verified too. A pair that
-    links is in one component by then or is found here: no link is lost.
-5.  Components of all links, by their least document.
-
-No bucket's pairs are listed: step 3 makes up to eight pairs a class, and step 4 keeps pairs
-within a component and boxes under the bound out.
+3.  First round: every class enters the R-trees of the first two of its shared buckets. Second
+    round: the classes enter the trees of all their buckets that still hold several
+    components of the links found. A pair that links is in one component by then or
+    meets here: no link is lost.
+4.  A tree gives candidates as clusters: the connected parts of the graph of the pairs that
+    pass the bound, so a bucket of m classes gives at most m rows, never its pairs.
+5.  A cluster's sets are compared on the texts. Pairs that are connected by links already
+    are skipped, so at most one link less than it has members comes out of it.
+6.  Components of all links, by their least document.
+
+A bucket of more than ``PAGE`` shingles is cut into pages, by component, size and hash; two pages
+meet in a task of their own unless no pair of theirs can link (sizes too far apart, or all
+of one component). So no task holds more than two pages, whatever the bucket.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -35,16 +37,20 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from weft.llm.common import drop_shuffles, forget, id_and_text, written
+from weft.llm.common import as_texts, drop_shuffles, forget, joined, lean, marked, packed_texts, unpack, whole_groups, written
 from weft.llm.components import components
-from weft.llm.substring import packed_texts, unpack
 from weft.llm.words import mixed, run_starts, runs_hash, word_hashes
 
 SHINGLE_WORDS = 5
 #: Two sets link when NUMERATOR * union <= DENOMINATOR * intersection.
 NUMERATOR, DENOMINATOR = 75, 100
 GROUPS, MOST_GROUPS, LEAF, COUNTERS = 64, 4096, 32, 1 << 16
-STAR_STEPS, SEEDS = 2, 4
+#: Buckets that a class enters in the first round.
+FIRST_BUCKETS = 2
+#: Shingles that a page holds, as far as one set isn't larger.
+PAGE = 1 << 20
+#: Sets whose bands (logarithms of their sizes to this base) are more than one apart can't link.
+BAND = 1.34
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -138,22 +144,23 @@ def in_slices(batches: Iterable[pa.RecordBatch], rows: int = 1000) -> Iterator[p
             yield batch.slice(lo, rows)
 
 
+def names_of(found: np.ndarray, offsets: np.ndarray, seed: int) -> np.ndarray:
+    """64 bits that name each set of hashes."""
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(found, seed))])
+    return mixed(sums[offsets[1:]] - sums[offsets[:-1]] + np.diff(offsets).astype(np.uint64), seed).view(np.int64)
+
+
 def set_features(docs: DataFrame) -> DataFrame:
-    """doc_id, n (set size), h1, h2 (128 bits that name the set) and its count vector."""
+    """doc_id, mark, n (set size), h1, h2 (128 bits that name the set) and its count vector."""
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compressor = zstandard.ZstdCompressor(1)
         for batch in in_slices(batches):
-            found, offsets = set_hashes(batch.column(1))
-            n = np.diff(offsets)
+            found, offsets = set_hashes(batch.column(2))
             vectors = [count_vector(found[lo:hi], compressor) for lo, hi in zip(offsets[:-1], offsets[1:])]
-            names = []
-            for seed in (11, 12):
-                sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(found, seed))])
-                names.append(pa.array(mixed(sums[offsets[1:]] - sums[offsets[:-1]] + n.astype(np.uint64), seed).view(np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), *names, pa.array(vectors, pa.binary())], names=["doc_id", "n", "h1", "h2", "vector"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.diff(offsets), pa.int64()), *(pa.array(names_of(found, offsets, seed)) for seed in (11, 12)), pa.array(vectors, pa.binary())], names=["doc_id", "mark", "n", "h1", "h2", "vector"])
 
-    return docs.select("doc_id", "text").mapInArrow(rows, "doc_id long, n long, h1 long, h2 long, vector binary")
+    return docs.select("doc_id", "mark", "text").mapInArrow(lean(rows, "powers"), "doc_id long, mark long, n long, h1 long, h2 long, vector binary")
 
 
 def counters(docs: DataFrame) -> np.ndarray:
@@ -167,7 +174,7 @@ def counters(docs: DataFrame) -> np.ndarray:
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["counter", "n"])
 
-    found = docs.select("text").select(F.lit(0).alias("_"), "text").mapInArrow(rows, "counter int, n long").groupBy("counter").agg(F.sum("n").alias("n")).toPandas()  # at most COUNTERS rows
+    found = docs.select(F.lit(0).alias("_"), "text").mapInArrow(lean(rows, "powers"), "counter int, n long").groupBy("counter").agg(F.sum("n").alias("n")).toPandas()  # at most COUNTERS rows
     total = np.zeros(COUNTERS)
     total[found["counter"]] = found["n"]
     mean = max(1.0, total.mean())
@@ -176,23 +183,24 @@ def counters(docs: DataFrame) -> np.ndarray:
 
 
 def postings(docs: DataFrame, busy: np.ndarray) -> DataFrame:
-    """bucket (shingle hash) and h1 for the prefix of each text's set."""
+    """bucket (shingle hash) and h1 for the prefix of each text's set; a set that comes again
+    within a batch, as those of large groups of copies do, is listed once."""
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in in_slices(batches):
+        for batch in in_slices(batches, 2000):
             found, offsets = set_hashes(batch.column(1))
             n = np.diff(offsets)
+            h1 = names_of(found, offsets, 11)
+            fresh = np.zeros(len(n), bool)
+            fresh[np.unique(h1, return_index=True)[1]] = True
             text = np.repeat(np.arange(len(n)), n)
             order = np.lexsort((found, busy[(found >> np.uint64(48)).astype(np.int64)], text))
-            found = found[order]
-            prefix = n - -(-NUMERATOR * n // DENOMINATOR) + 1
+            prefix = np.where(fresh, n - -(-NUMERATOR * n // DENOMINATOR) + 1, 0)
             rank = np.arange(len(found)) - np.repeat(offsets[:-1], n)
             keep = rank < np.repeat(prefix, n)
-            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(found, 11))])
-            h1 = mixed(sums[offsets[1:]] - sums[offsets[:-1]] + n.astype(np.uint64), 11)
-            yield pa.RecordBatch.from_arrays([pa.array(found[keep].view(np.int64)), pa.array(np.repeat(h1, n)[keep].view(np.int64))], names=["bucket", "h1"])
+            yield pa.RecordBatch.from_arrays([pa.array(found[order][keep].view(np.int64)), pa.array(np.repeat(h1, n)[keep])], names=["bucket", "h1"])
 
-    return docs.select(F.lit(0).alias("_"), "text").mapInArrow(rows, "bucket long, h1 long")
+    return docs.select(F.lit(0).alias("_"), "text").mapInArrow(lean(rows, "powers"), "bucket long, h1 long")
 
 
 def bound_passes(n_a, n_b, least_sum):
@@ -211,11 +219,12 @@ class CountVectorTree:
     ``pairs()`` yields the places of pairs of points that pass the bound and differ in every
     label, by descending both trees at once; a box carries the greatest count of each group,
     its least and greatest size, and each label that all its points have. ``labels`` is a
-    list of arrays; -1 differs from -1 too.
+    list of arrays; -1 differs from -1 too. ``part``, if given, is read anew for each pair of
+    leaves: points of one part aren't paired, so a caller may unite parts on the way.
     """
 
-    def __init__(self, vectors: np.ndarray, sizes: np.ndarray, labels: list[np.ndarray]):
-        self.vectors, self.sizes, self.labels = vectors.astype(np.int64), sizes, labels
+    def __init__(self, vectors: np.ndarray, sizes: np.ndarray, labels: list[np.ndarray], part: np.ndarray | None = None):
+        self.vectors, self.sizes, self.labels, self.part = vectors.astype(np.int32), sizes, labels, part
         self.root = self._build(np.arange(len(sizes))) if len(sizes) else None
 
     def _build(self, points: np.ndarray) -> dict:
@@ -250,8 +259,11 @@ class CountVectorTree:
                 stack += [(a, kid) for kid in b["kids"]]
             else:
                 p, q = a["points"], b["points"]
+                open_ = True if self.part is None else self.part[p][:, None] != self.part[q][None, :]
+                if not np.any(open_):
+                    continue
                 least = np.minimum(self.vectors[p][:, None, :], self.vectors[q][None, :, :]).sum(2)
-                ok = bound_passes(self.sizes[p][:, None], self.sizes[q][None, :], least)
+                ok = bound_passes(self.sizes[p][:, None], self.sizes[q][None, :], least) & open_
                 for x in self.labels:
                     ok &= (x[p][:, None] != x[q][None, :]) | (x[p][:, None] == -1)
                 if a is b:
@@ -261,39 +273,6 @@ class CountVectorTree:
                     yield p[i], q[j]
 
 
-def bounded(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs (a, b: h1) whose count vectors pass the bound."""
-    one = classes.select("h1", "n", "vector")
-    joined = pairs.join(one.toDF("a", "n_a", "v_a"), "a").join(one.toDF("b", "n_b", "v_b"), "b").select("a", "b", "n_a", "n_b", "v_a", "v_b")
-
-    def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n_a, n_b, every = np.asarray(batch.column(2)), np.asarray(batch.column(3)), np.arange(batch.num_rows)
-            ok = bound_passes(n_a, n_b, Vectors(batch.column(4), n_a).least(every, Vectors(batch.column(5), n_b), every))
-            yield batch.select([0, 1]).filter(pa.array(ok))
-
-    return joined.mapInArrow(rows, "a long, b long").distinct()
-
-
-def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """Links (a, b: least documents of two classes) among pairs of h1, by the texts' exact sets."""
-    reps = classes.select("h1", "rep")
-    known = pairs.join(reps.toDF("a", "doc_a"), "a").join(reps.toDF("b", "doc_b"), "b").select("doc_a", "doc_b").where("doc_a != doc_b").distinct()
-    texts = packed_texts(docs).select("doc_id", "packed")
-    joined = known.join(texts.toDF("doc_a", "text_a"), "doc_a").join(texts.toDF("doc_b", "text_b"), "doc_b").select("doc_a", "doc_b", "text_a", "text_b")
-
-    def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ok, last, found = [], None, None
-            for x, y in zip(unpack(batch.column(2)), unpack(batch.column(3))):
-                if y != last:  # sorted by doc_b, so its set serves many rows
-                    last, found = y, shingle_set(y)
-                ok.append(links(shingle_set(x), found))
-            yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
-
-    return joined.mapInArrow(rows, "a long, b long").distinct()
-
-
 def leaf_pairs(bucket: np.ndarray, vectors: np.ndarray, sizes: np.ndarray, labels: list[np.ndarray], most: int) -> tuple[np.ndarray, np.ndarray]:
     """What ``CountVectorTree.pairs`` finds in buckets of one leaf, for many sorted buckets of up
     to ``most`` points at once: point k meets points k + 1, k + 2, ... of its bucket."""
@@ -309,120 +288,234 @@ def leaf_pairs(bucket: np.ndarray, vectors: np.ndarray, sizes: np.ndarray, label
     return np.concatenate(left), np.concatenate(right)
 
 
-def tree_pairs(points: DataFrame) -> DataFrame:
-    """Pairs (a, b: h1) of different components that pass the bound within a bucket.
+def unite(part: np.ndarray, p: np.ndarray, q: np.ndarray) -> None:
+    """Gives the parts that the pairs connect their least number, in place."""
+    while len(p):
+        low = np.minimum(part[p], part[q])
+        np.minimum.at(part, part[p], low)
+        np.minimum.at(part, part[q], low)
+        while not np.array_equal(part, up := part[part]):
+            part[:] = up
+        open_ = part[p] != part[q]
+        p, q = p[open_], q[open_]
+
 
-    ``points``: bucket, h1, component, before, n, vector. ``before`` is the next lesser bucket
-    of the set: points that have it in common met there already, so a bucket joins only
-    points that come from different ones. A task reads bucket after bucket: those of one
-    leaf many at a time, each larger one as a tree of its own.
+def clusters_of(points: DataFrame) -> DataFrame:
+    """cluster, h1, component: the connected parts of the pairs of different components that
+    pass the bound within a cell. A cluster is named by its members, so cells that hold the same
+    one give it once.
+
+    ``points``: cell, side, h1, component, before, n, vector. Points of one side other than -1
+    don't meet. ``before`` is the next lesser bucket of the set: points that have it in common
+    met there already. A task reads cell after cell: those of one leaf many at a time, each
+    larger one as a tree of its own.
     """
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def join(table: pa.Table) -> Iterator[pa.RecordBatch]:
-            table = table.combine_chunks()
-            bucket, h1, sizes, component = (np.asarray(table[c]) for c in ("bucket", "h1", "n", "component"))
-            labels = [component, np.unique(np.asarray(table["before"].fill_null(0)), return_inverse=True)[1]]
+        for table in whole_groups(batches, "cell"):
+            cell, h1, sizes, component = (np.asarray(table[c]) for c in ("cell", "h1", "n", "component"))
+            labels = [component, np.unique(np.asarray(table["before"].fill_null(0)), return_inverse=True)[1], np.asarray(table["side"]).astype(np.int64)]
             labels[1][np.asarray(table["before"].is_null())] = -1
             wide = Vectors(table["vector"].combine_chunks(), sizes)
-            vectors = wide.narrow()
-            cuts = np.concatenate([[0], np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, [len(bucket)]])
+            vectors, part = wide.narrow(), np.arange(len(cell))
+
+            def take(p: np.ndarray, q: np.ndarray) -> None:
+                ok = bound_passes(sizes[p], sizes[q], wide.least(p, wide, q))
+                unite(part, p[ok], q[ok])
+
+            cuts = np.concatenate([[0], np.flatnonzero(cell[1:] != cell[:-1]) + 1, [len(cell)]])
             counts = np.diff(cuts)
             small = np.flatnonzero(np.repeat(counts, counts) <= LEAF)
-            p, q = leaf_pairs(bucket[small], vectors[small], sizes[small], [x[small] for x in labels], int(counts[counts <= LEAF].max(initial=1)))
-            found = [(small[p], small[q])]
+            p, q = leaf_pairs(cell[small], vectors[small], sizes[small], [x[small] for x in labels], int(counts[counts <= LEAF].max(initial=1)))
+            take(small[p], small[q])
             for k in np.flatnonzero(counts > LEAF):
-                own = slice(cuts[k], cuts[k + 1])
-                found += [(p + cuts[k], q + cuts[k]) for p, q in CountVectorTree(vectors[own], sizes[own], [x[own] for x in labels]).pairs()]
-            for p, q in found:
-                ok = bound_passes(sizes[p], sizes[q], wide.least(p, wide, q))
-                p, q = p[ok], q[ok]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(h1[p], h1[q])), pa.array(np.maximum(h1[p], h1[q]))], names=["a", "b"])
-
-        held: list[pa.RecordBatch] = []  # the bucket that the next batch may go on with
-        for batch in batches:
-            bucket = np.asarray(batch.column("bucket"))
-            if not len(bucket):
-                continue
-            last = int(np.searchsorted(bucket, bucket[-1], "left"))
-            if last or (held and held[-1].column("bucket")[-1].as_py() != bucket[0]):
-                yield from join(pa.Table.from_batches([*held, batch.slice(0, last)]))
-                held = []
-            held.append(batch.slice(last))
-        if held:
-            yield from join(pa.Table.from_batches(held))
+                lo, own = cuts[k], slice(cuts[k], cuts[k + 1])
+                joined = np.arange(counts[k])  # the tree's view of ``part``
+                for p, q in CountVectorTree(vectors[own], sizes[own], [x[own] for x in labels], joined).pairs():
+                    first = np.concatenate([[True], p[1:] != p[:-1]])  # one pair a point mostly unites all
+                    take(p[first] + lo, q[first] + lo)
+                    rest = ~first & (part[p + lo] != part[q + lo])
+                    take(p[rest] + lo, q[rest] + lo)
+                    joined[:] = part[own] - lo
+            members = np.flatnonzero(np.bincount(part, minlength=len(part))[part] > 1)
+            sums = np.zeros(len(part), np.uint64)
+            np.add.at(sums, part[members], mixed(h1[members].view(np.uint64), 21))
+            yield pa.RecordBatch.from_arrays([pa.array(mixed(sums[part[members]], 22).view(np.int64)), pa.array(h1[members]), pa.array(component[members])], names=["cluster", "h1", "component"])
 
     parts = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = points.repartition(parts, "bucket").sortWithinPartitions("bucket", "n", "h1")
-    return dealt.mapInArrow(rows, "a long, b long").distinct()
+    dealt = points.select("cell", "side", "h1", "component", "before", "n", "vector").repartition(parts, "cell").sortWithinPartitions("cell", "n", "h1")
+    return dealt.mapInArrow(lean(rows), "cluster long, h1 long, component long").distinct()
+
+
+def cluster_links(nodes: np.ndarray, component: np.ndarray, found: list[np.ndarray], text: list[bytes], spanning: bool) -> Iterator[tuple[int, int]]:
+    """Pairs of nodes of one cluster that link; with ``spanning`` only those that connect what
+    was not connected yet by components or by the links before."""
+    sizes = np.array([len(f) for f in found])
+    of = np.repeat(np.arange(len(found)), sizes)
+    vectors = np.bincount(of * GROUPS + (np.concatenate(found) % np.uint64(GROUPS)).astype(np.int64), minlength=len(found) * GROUPS).reshape(-1, GROUPS)
+    part = np.unique(component, return_inverse=True)[1] if spanning else np.arange(len(found))
+    sets: dict[int, set] = {}
+
+    def exact(k: int) -> set:
+        if k not in sets:
+            if len(sets) > LEAF:
+                sets.clear()
+            sets[k] = shingle_set(text[k])
+        return sets[k]
+
+    for p, q in CountVectorTree(vectors, sizes, [], part).pairs():
+        for i, j in zip(p.tolist(), q.tolist()):
+            if spanning and part[i] == part[j]:
+                continue
+            both = len(np.intersect1d(found[i], found[j], assume_unique=True))
+            if DENOMINATOR * both >= NUMERATOR * (sizes[i] + sizes[j] - both) and links(exact(i), exact(j)):
+                if spanning:
+                    part[part == part[i]] = part[j]
+                yield nodes[i], nodes[j]
 
 
-def class_labels(classes: DataFrame, found: DataFrame | None) -> DataFrame:
-    """h1, component, n, vector; before any link is known a class is its own component."""
-    joined = classes.withColumn("component", F.col("rep"))
-    if found is not None:
-        joined = classes.join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    return written(joined.groupBy("h1").agg(F.min("component").alias("component"), F.min("n").alias("n"), F.min("vector").alias("vector")), "labels")
+def verified(clusters: DataFrame, classes: DataFrame, docs: DataFrame, spanning: bool = True) -> DataFrame:
+    """Links (a, b: nodes) within the clusters, by the texts' exact sets. Pairs are chosen by
+    their sets' 64-bit shingle hashes; one that links by these is compared word by word."""
+    members = written(joined(clusters, classes.select("h1", "node", "doc_id", "mark"), "h1").select("cluster", "component", "node", "doc_id", "mark"), "members")
+    needed = members.select("doc_id", "mark").distinct()
+    texts = joined(packed_texts(docs), needed, ["doc_id", "mark"], "left_semi").dropDuplicates(["doc_id", "mark"])
 
+    def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches, "cluster"):
+            cluster, node, component = (np.asarray(table[c]) for c in ("cluster", "node", "component"))
+            text = unpack(table["packed"].combine_chunks())
+            cuts = np.concatenate([[0], np.flatnonzero(cluster[1:] != cluster[:-1]) + 1, [len(cluster)]])
+            hashes, offsets = set_hashes(as_texts(text))
+            found = [hashes[lo:hi] for lo, hi in zip(offsets[:-1], offsets[1:])]
+            pairs = [pair for lo, hi in zip(cuts[:-1], cuts[1:]) for pair in cluster_links(node[lo:hi], component[lo:hi], found[lo:hi], text[lo:hi], spanning)]
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in pairs], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = joined(members, texts, ["doc_id", "mark"]).select("cluster", "component", "node", "packed").repartition(parts, "cluster").sortWithinPartitions("cluster", "node")
+    return dealt.mapInArrow(lean(rows, "powers"), "a long, b long").distinct()
+
+
+def in_cells(points: DataFrame, weights: DataFrame, page: int) -> DataFrame:
+    """cell and side for each point (``weights``: the written table of its column w): a bucket is a cell, but one of more than ``page`` shingles
+    (column w) is cut into pages and each two pages that may hold a link are a cell."""
+    plain = points.where(F.col("w") <= page).withColumns({"cell": F.col("bucket"), "side": F.lit(-1)})
+    if weights.where(F.col("w") > page).isEmpty():
+        return plain
+    wide = points.where(F.col("w") > page)
+    own = written(wide.groupBy("bucket", "component").agg(F.sum("n").alias("own")).where(F.col("own") > page), "wide")
+    of = F.when(F.col("own").isNotNull(), F.col("component"))
+    parts = F.ceil(F.coalesce("own", "w") / page)
+    band = F.floor(F.log(F.col("n")) / float(np.log(BAND)))
+    place = F.struct(band.alias("band"), of.alias("of"), F.pmod(F.xxhash64(F.when(F.col("own").isNull(), F.col("component")).otherwise(F.col("h1"))), parts).alias("page"))
+    placed = wide.join(own, ["bucket", "component"], "left").withColumn("place", place).drop("own")
+    pages = written(placed.select("bucket", "place").distinct(), "pages")
+    near = (F.col("y.place.band") - F.col("x.place.band")).between(0, 1) & (F.col("x.place") <= F.col("y.place")) & F.coalesce(F.col("x.place.of") != F.col("y.place.of"), F.lit(True))
+    pairs = written(pages.alias("x").join(pages.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & near).select("x.bucket", F.col("x.place").alias("p"), F.col("y.place").alias("q"), F.xxhash64("x.bucket", "x.place", "y.place").alias("cell")), "page-pairs")
+    sides = pairs.select("bucket", "cell", F.explode(F.when(F.col("p") == F.col("q"), F.array(F.struct(F.col("p").alias("place"), F.lit(-1).alias("side")))).otherwise(F.array(F.struct(F.col("p").alias("place"), F.lit(0).alias("side")), F.struct(F.col("q").alias("place"), F.lit(1).alias("side"))))).alias("s"))
+    sides = sides.select("bucket", "cell", F.to_json("s.place").alias("place"), "s.side")
+    cut = placed.withColumn("place", F.to_json("place")).join(sides, ["bucket", "place"]).drop("place")
+    return plain.unionByName(cut)
+
+
+def joined_in_trees(points: DataFrame, weights: DataFrame, classes: DataFrame, docs: DataFrame, page: int, spanning: bool = True) -> DataFrame:
+    """Links (a, b: nodes) among ``points``: bucket, w, h1, component, before, n."""
+    spark = docs.sparkSession
+    cells = joined(in_cells(points, weights, page), classes.select("h1", "vector"), "h1")
+    clusters = written(clusters_of(cells), "clusters")
+    drop_shuffles(spark)
+    found = written(verified(clusters, classes, docs, spanning), "links")
+    forget(clusters)
+    drop_shuffles(spark)
+    return found
 
-def star_pairs(labels: DataFrame, step: int) -> DataFrame:
-    """Pairs (a, b: h1), at most ``SEEDS`` a class: with the class of another component that has
-    the least hash among the leaders of its buckets, for as many hash functions. A bucket's
-    leader is its class of least hash."""
-    seeds = range(step * SEEDS, (step + 1) * SEEDS)
-    key = lambda k, c: F.struct(F.xxhash64(F.lit(k), F.col(c)).alias("k"), F.col(c).alias("leader"), F.col("component").alias("of"))
-    leaders = written(labels.groupBy("bucket").agg(*(F.min(key(k, "h1")).alias(f"l{k}") for k in seeds)), "leaders")
-    near = labels.join(leaders, "bucket").groupBy("h1").agg(*(F.min(F.when(F.col(f"l{k}.of") != F.col("component"), F.col(f"l{k}"))).alias(f"l{k}") for k in seeds))
-    pairs = near.select("h1", F.explode(F.array_distinct(F.array(*(F.col(f"l{k}.leader") for k in seeds)))).alias("leader")).where("leader is not null")
-    return pairs.select(F.least("h1", "leader").alias("a"), F.greatest("h1", "leader").alias("b")).distinct()
 
+def shared_postings(docs: DataFrame) -> DataFrame:
+    """bucket, h1 of the buckets that two sets or more share."""
+    entries = written(postings(docs, counters(docs)), "postings")
+    shared = written(entries.groupBy("bucket").agg(F.min("h1").alias("x"), F.max("h1").alias("y")).where("x != y").select("bucket"), "shared")
+    drop_shuffles(docs.sparkSession)
+    met = written(joined(entries, shared, "bucket").select("bucket", "h1").distinct(), "buckets")
+    forget(entries, shared)
+    drop_shuffles(docs.sparkSession)
+    return met
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id for each row.
 
-    Null and wordless texts have an empty set and link with nothing. Rows with a null id are
-    compared with nothing and have a null component. Rows that repeat an id have one node
-    a set; equal ids alone are no link.
-    """
-    spark = docs.sparkSession
-    docs = id_and_text(docs)
+def classes_of(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What each row's set is (as ``set_features`` tells), and its classes: h1, h2, n, node (a
+    number of its own), doc_id and mark of its least document, vector."""
     features = written(set_features(docs), "sets")
     known = features.where("doc_id is not null and n > 0")
-    classes = written(known.groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("rep"), F.min("vector").alias("vector")), "classes")
-    usable = docs.where("doc_id is not null")
+    grouped = known.groupBy("h1", "h2", "n").agg(F.min(F.struct("doc_id", "mark")).alias("least"), F.min("vector").alias("vector"))
+    classes = grouped.select("h1", "h2", "n", F.monotonically_increasing_id().alias("node"), "least.doc_id", "least.mark", "vector")
+    return features, written(classes, "classes")  # written, so a node's number stays
 
-    entries = written(postings(usable, counters(usable)), "postings")
-    shared = written(entries.groupBy("bucket").agg(F.min("h1").alias("x"), F.max("h1").alias("y")).where("x != y").select("bucket"), "shared")
-    drop_shuffles(spark)
-    met = written(entries.join(shared, "bucket").select("bucket", "h1").distinct(), "buckets")
-    forget(entries, shared)
-    drop_shuffles(spark)
 
-    found, done, linked = None, [], []
-    for step in range(STAR_STEPS):
-        labelled = class_labels(classes, found)
-        labels = written(met.join(labelled.select("h1", "component"), "h1"), "bucket-labels")
-        tested = written(bounded(star_pairs(labels, step), classes), "stars")
-        drop_shuffles(spark)
-        linked.append(written(verified(tested, classes, usable), "links"))
-        drop_shuffles(spark)
-        forget(labelled, labels)
-        found = components(reduce(DataFrame.unionByName, linked))
-        done += [tested, found]
-    labelled = class_labels(classes, found)
-    labels = written(met.join(labelled.select("h1", "component"), "h1"), "bucket-labels")
-    mixed_buckets = written(labels.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y").select("bucket"), "mixed")
+def open_points(met: DataFrame, labelled: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """bucket, w (its shingles), h1, component, before, n in the buckets that hold several
+    components; and the table of these buckets and w."""
+    labels = written(joined(met, labelled, "h1"), "bucket-labels")
+    held = written(labels.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.sum("n").alias("w")).where("x != y").select("bucket", "w"), "mixed")
     before = F.lag("bucket").over(Window.partitionBy("h1").orderBy("bucket"))  # a partition is a part of one set's prefix
-    points = labels.join(mixed_buckets, "bucket").withColumn("before", before).join(labelled.select("h1", "n", "vector"), "h1")
-    passed = written(tree_pairs(points.select("bucket", "h1", "component", "before", "n", "vector")), "passed")
-    drop_shuffles(spark)
-    linked.append(written(verified(passed, classes, usable), "links"))
+    return joined(labels, held, "bucket").withColumn("before", before), held
+
+
+def near_duplicate_rows(docs: DataFrame, page: int = PAGE) -> DataFrame:
+    """doc_id, mark, n_shingles, component_id, leads for each row; see ``near_duplicates``.
+    mark: xxhash64 of the text. leads: the row's id and mark are the least of its group."""
+    spark = docs.sparkSession
+    docs = marked(docs)
+    features, classes = classes_of(docs)
+    usable = docs.where("doc_id is not null")
+    met = shared_postings(usable)
+
+    labelled = classes.select("h1", "n", F.col("node").alias("component"))
+    first = F.row_number().over(Window.partitionBy("h1").orderBy("bucket"))  # a partition is a part of one set's prefix
+    chosen = met.withColumn("r", first).where(F.col("r") <= FIRST_BUCKETS).drop("r")
+    chosen = written(joined(chosen, labelled, "h1").withColumn("before", F.lit(None).cast("long")), "first")
+    weights = written(chosen.groupBy("bucket").agg(F.sum("n").alias("w"), F.count("*").alias("m")).where("m > 1").drop("m"), "weights")
+    found = joined_in_trees(joined(chosen, weights, "bucket"), weights, classes, usable, page)
     drop_shuffles(spark)
 
-    forget(met, labelled, labels, mixed_buckets, passed, *done)
-    merged = components(reduce(DataFrame.unionByName, linked)).withColumnRenamed("node", "rep")
-    forget(*linked)
-    of_class = classes.select("h1", "h2", "n", "rep").join(merged, "rep", "left").select("h1", "h2", "n", F.coalesce("component", "rep").alias("component_id"))
-    placed = known.select("doc_id", "h1", "h2", "n").join(of_class, ["h1", "h2", "n"]).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    alone = features.where("doc_id is null or n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    settled = components(found)
+    labelled = written(joined(classes.select("h1", "n", "node"), settled, "node", "left").select("h1", "n", F.coalesce("component", "node").alias("component")), "labels")
+    rest = joined_in_trees(*open_points(met, labelled), classes, usable, page)
+    forget(met, labelled, chosen, weights)
+    stars = settled.select(F.col("node").alias("a"), F.col("component").alias("b"))  # as connected as the links they come from
+    merged = settled if rest.isEmpty() else components(stars.unionByName(rest))
+
+    of_class = joined(classes.select("h1", "h2", "n", "node", F.struct("doc_id", "mark").alias("least")), merged, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    of_class = written(of_class.select("h1", "h2", "n", "component", "least"), "of-class")
+    leads = written(of_class.groupBy("component").agg(F.min("least").alias("lead")), "leads")
+    named = written(joined(of_class, leads, "component").select("h1", "h2", "n", "lead"), "named")
+    known = joined(features.where("doc_id is not null and n > 0"), named, ["h1", "h2", "n"])
+    lead = (F.col("doc_id") == F.col("lead.doc_id")) & (F.col("mark") == F.col("lead.mark"))
+    placed = known.select("doc_id", "mark", F.col("n").alias("n_shingles"), F.col("lead.doc_id").alias("component_id"), lead.alias("leads"))
+    alone = features.where("doc_id is null or n = 0").select("doc_id", "mark", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(True).alias("leads"))
     return placed.unionByName(alone)
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id for each row.
+
+    Null, empty and wordless texts have an empty set and link with nothing. Rows with a null id
+    are compared with nothing and have a null component. Of rows that repeat an id each has the
+    component of its own text: equal ids alone are no link, and different texts under one id
+    may be in different groups. Very long texts are one set each, whole. Columns other than
+    doc_id and text are left out, so no name clashes. No rows in, no rows out.
+    """
+    return near_duplicate_rows(docs).select("doc_id", "n_shingles", "component_id")
+
+
+def linked_pairs(docs: DataFrame, page: int = PAGE) -> tuple[DataFrame, DataFrame]:
+    """All links: pairs (a, b) of nodes of different sets that link, and the members of each
+    node (node, doc_id, mark). The pairs are as many as there are links, so a large group of
+    near copies has many; ``near_duplicates`` needs only enough of them to connect it.
+    """
+    docs = marked(docs)
+    features, classes = classes_of(docs)
+    usable = docs.where("doc_id is not null")
+    points, weights = open_points(shared_postings(usable), classes.select("h1", "n", F.col("node").alias("component")))
+    members = joined(features.where("doc_id is not null and n > 0"), classes.select("h1", "h2", "n", "node"), ["h1", "h2", "n"]).select("node", "doc_id", "mark")
+    found = joined_in_trees(points, weights, classes, usable, page, spanning=False)
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), members
