@@ -22,7 +22,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 
 #: What one Arrow batch between Spark and Python holds at most (a single longer text aside).
-BATCH_ROWS, BATCH_BYTES = 2000, 4 << 20
+BATCH_ROWS, BATCH_BYTES = 4000, 8 << 20
 
 _own_folder: str | None = None
 #: Name and emptying of what modules keep between tasks of a worker.

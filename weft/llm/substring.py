@@ -14,10 +14,15 @@ equal minimizers, so only paths of equal minimizer need to meet:
     copies of a path are repeated; the first copies are opened into edges from their
     source texts and the edges are grouped: an edge is repeated if it begins earlier
     anywhere.
-3.  Repeated paths and edges are merged to spans of their document and applied to its text.
-
-Joins are by minimizer, path, edge or document, each skewed side against a side of one row
-a key, which Spark may split. Every shuffled text is compressed.
+3.  Repeated paths and edges that follow each other both in their document and at their source
+    compact to one span with its source coordinates.
+4.  The words of every span and those at its source coordinates are read from the texts. All
+    that name one place must have one digest (blake2b of 128 bits); where they don't, by an
+    accident of the 64-bit hashes of steps 1 and 2, a span is taken out of its document only if its
+    own words have the source's digest.
+
+Joins are by minimizer, path, edge, place or document, each skewed side against a side of one
+row a key, which Spark may split. Every shuffled text is compressed.
 """
 
 from __future__ import annotations
@@ -27,12 +32,11 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from weft.llm.common import drop_shuffles, forget, written
+from weft.llm.common import as_texts, drop_shuffles, forget, joined, lean, marked, packed_texts, unpack, written
 from weft.llm.words import mixed, run_starts, runs_hash, word_hashes
 
 WINDOW, KMER = 20, 8
@@ -62,54 +66,22 @@ def signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
-def text_mark(data: bytes) -> int:
-    """32 bits that tell apart texts under one id."""
-    return int.from_bytes(hashlib.blake2b(data, digest_size=4).digest(), "little", signed=True)
-
-
-def packed_texts(docs: DataFrame, more: list[str] = []) -> DataFrame:  # noqa: B006
-    """doc_id, mark, the compressed text (null: empty) and the columns ``more``, for shuffles."""
-
-    def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        compressor = zstandard.ZstdCompressor(1)
-        for batch in batches:
-            data = [(t.as_py() or "").encode("utf-8", "surrogatepass") for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([text_mark(d) for d in data], pa.int32()), pa.array([compressor.compress(d) for d in data], pa.binary()), *batch.columns[2:]], names=["doc_id", "mark", "packed", *more])
-
-    schema = StructType.fromDDL("doc_id long, mark int, packed binary")
-    for c in more:
-        schema = schema.add(c, docs.schema[c].dataType)
-    return docs.select("doc_id", "text", *more).mapInArrow(rows, schema)
-
-
-def unpack(column: pa.Array) -> list[bytes]:
-    decompressor = zstandard.ZstdDecompressor()
-    return [decompressor.decompress(x) for x in column.to_pylist()]
-
-
-def as_texts(data: list[bytes]) -> pa.Array:
-    """Bytes as a string array; what isn't valid UTF-8 is only hashed, never decoded."""
-    return pa.array(data, pa.large_binary()).view(pa.large_string())
-
-
 def document_paths(docs: DataFrame, window: int = WINDOW, kmer: int = KMER) -> DataFrame:
     """minimizer, path, doc_id, mark, start (word of the document) and edges of each path."""
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = np.asarray(batch.column(0))
             for lo in range(0, batch.num_rows, 1000):
-                texts = batch.column(1).slice(lo, 1000)
-                hashes, offsets = word_hashes(texts)
+                some = batch.slice(lo, 1000)
+                hashes, offsets = word_hashes(some.column(2))
                 mini, path, begin, edges = paths_of(hashes, offsets, window, kmer)
                 text = np.searchsorted(offsets, begin, "right") - 1
-                marks = np.array([text_mark((t.as_py() or "").encode("utf-8", "surrogatepass")) for t in texts], np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [signed(mini), signed(path), pa.array(ids[lo + text]), pa.array(marks[text]), pa.array((begin - offsets[text]).astype(np.int32)), pa.array(edges.astype(np.int32))],
+                    [signed(mini), signed(path), *(pa.array(np.asarray(some.column(c))[text]) for c in (0, 1)), pa.array((begin - offsets[text]).astype(np.int32)), pa.array(edges.astype(np.int32))],
                     names=["minimizer", "path", "doc_id", "mark", "start", "edges"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(rows, "minimizer long, path long, doc_id long, mark int, start int, edges int")
+    return docs.select("doc_id", "mark", "text").mapInArrow(lean(rows, "powers"), "minimizer long, path long, doc_id long, mark long, start int, edges int")
 
 
 def edges_of(paths: DataFrame, docs: DataFrame, window: int) -> DataFrame:
@@ -125,61 +97,127 @@ def edges_of(paths: DataFrame, docs: DataFrame, window: int) -> DataFrame:
                 starts = np.concatenate([np.arange(p["start"], p["start"] + p["edges"]) for p in found])
                 n = len(starts)
                 yield pa.RecordBatch.from_arrays(
-                    [signed(runs_hash(hashes, starts, starts + window)), signed(runs_hash(mixed(hashes, 3), starts, starts + window)), pa.array([doc_id] * n, pa.int64()), pa.array([mark] * n, pa.int32()), pa.array(starts.astype(np.int32))],
+                    [signed(runs_hash(hashes, starts, starts + window)), signed(runs_hash(mixed(hashes, 3), starts, starts + window)), pa.array([doc_id] * n, pa.int64()), pa.array([mark] * n, pa.int64()), pa.array(starts.astype(np.int32))],
                     names=["e1", "e2", "doc_id", "mark", "start"],
                 )
 
-    return texts.join(grouped, ["doc_id", "mark"]).mapInArrow(rows, "e1 long, e2 long, doc_id long, mark int, start int")
+    return joined(texts, grouped, ["doc_id", "mark"]).mapInArrow(lean(rows, "powers"), "e1 long, e2 long, doc_id long, mark long, start int")
 
 
 def first_place() -> Column:
-    return F.min(F.struct("doc_id", "start")).alias("first")
+    return F.min(F.struct("doc_id", "start", "mark")).alias("first")
 
 
 def is_later() -> Column:
     return (F.col("first.doc_id") < F.col("doc_id")) | ((F.col("first.doc_id") == F.col("doc_id")) & (F.col("first.start") < F.col("start")))
 
 
+def compacted(stretches: DataFrame) -> DataFrame:
+    """Stretches of edges (doc_id, mark, start, edges, first) that follow each other or overlap
+    in their document and equally at their source, as one."""
+    at = ["doc_id", "mark", F.col("first.doc_id").alias("source"), F.col("first.mark").alias("source_mark"), (F.col("first.start") - F.col("start")).alias("shift")]
+    flat = stretches.select(*at, "start", (F.col("start") + F.col("edges")).alias("end")).distinct()
+    keys = ["doc_id", "mark", "source", "source_mark", "shift"]
+    along = Window.partitionBy(*keys).orderBy("start", "end")  # a partition is a part of one document
+    fresh = F.coalesce((F.col("start") > F.max("end").over(along.rowsBetween(Window.unboundedPreceding, -1))).cast("int"), F.lit(1))
+    runs = flat.withColumn("fresh", fresh).withColumn("run", F.sum("fresh").over(along))
+    return runs.groupBy(*keys, "run").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("run")
+
+
+def digest(words: list[bytes]) -> bytes:
+    return hashlib.blake2b(b" ".join(words), digest_size=16).digest()
+
+
+def kept_words(words: list[bytes], spans: list[dict]) -> list[bytes]:
+    """``words`` without the spans (start, length, digest) whose words have that digest, if it is
+    given; ``words`` itself if all stay."""
+    change = np.zeros(len(words) + 1, np.int64)
+    for s in spans:
+        start, end = s["start"], s["start"] + s["length"]
+        if s["digest"] is None or digest(words[start:end]) == s["digest"]:
+            change[start] += 1
+            change[end] -= 1
+    return [w for w, c in zip(words, np.cumsum(change).tolist()) if not c] if change.any() else words
+
+
+def digests_of_places(spans: DataFrame, docs: DataFrame) -> DataFrame:
+    """For each place (source, source_mark, at, length) that spans name: the digest of its words in
+    the source (told), and the least and greatest digest of these and of all spans that name it.
+
+    A text is read once, for its spans and for the places in it; a batch gives a place and a
+    digest once, so a passage that many documents share isn't listed for each of them.
+    """
+    place = [F.col("source"), F.col("source_mark"), F.col("at"), F.col("length")]
+    own = spans.select("doc_id", "mark", F.struct("start", *place, F.lit(False).alias("told")).alias("r"))
+    there = spans.select(*place).distinct().select(F.col("source").alias("doc_id"), F.col("source_mark").alias("mark"), F.struct(F.col("at").alias("start"), *place, F.lit(True).alias("told")).alias("r"))
+    asked = own.unionByName(there).groupBy("doc_id", "mark").agg(F.collect_list("r").alias("rs"))  # a group is spans and places of one document
+    texts = joined(packed_texts(docs), written(asked, "places"), ["doc_id", "mark"]).select("packed", "rs")
+    names = ["source", "source_mark", "at", "length", "told"]
+
+    def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: set[tuple] = set()
+            for data, asked in zip(unpack(batch.column(0)), batch.column(1).to_pylist()):
+                words = data.split()
+                found.update((*(r[c] for c in names), digest(words[r["start"] : r["start"] + r["length"]])) for r in asked)
+            columns = list(zip(*found)) or [[]] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.binary()))], names=[*names, "digest"])
+
+    seen = texts.mapInArrow(lean(rows), "source long, source_mark long, at int, length int, told boolean, digest binary").withColumn("digest", F.hex("digest"))
+    return seen.groupBy("source", "source_mark", "at", "length").agg(F.min(F.when(F.col("told"), F.col("digest"))).alias("told"), F.min("digest").alias("least"), F.max("digest").alias("most"))
+
+
 def repeated_spans(docs: DataFrame, window: int = WINDOW, kmer: int = KMER) -> DataFrame:
-    """doc_id, mark, start and length in words of spans whose windows all begin earlier too."""
+    """doc_id, mark, start and length in words of spans whose windows all begin earlier too. digest:
+    null where the words of all spans that name this span's source are those of the source, else the
+    source's, which tells the spans that are no repeats. ``docs`` as ``marked`` gives it."""
     spark = docs.sparkSession
     docs = docs.where("doc_id is not null")
-    span = lambda df: df.select("doc_id", "mark", "start", (F.col("edges") + (window - 1)).alias("length"))
+    stretch = lambda df: df.select("doc_id", "mark", "start", "edges", "first")
 
     paths = document_paths(docs, window, kmer)
     seen = paths.groupBy("minimizer").agg(F.count("*").alias("n"), F.min("path").alias("p"), F.max("path").alias("q"), first_place()).where("n > 1")
     seen = written(seen.select("minimizer", (F.col("p") != F.col("q")).alias("branches"), "first"), "minimizers")
     drop_shuffles(spark)
-    met = written(document_paths(docs, window, kmer).join(seen, "minimizer").where(F.col("branches") | is_later()), "paths")
+    met = written(joined(document_paths(docs, window, kmer), seen, "minimizer").where(F.col("branches") | is_later()), "paths")
     drop_shuffles(spark)
-    straight = span(met.where("not branches"))
+    straight = stretch(met.where("not branches"))
 
     branching = met.where("branches").drop("first")
     firsts = written(branching.groupBy("minimizer", "path").agg(first_place()), "firsts")  # written, so Spark may split the join below
-    placed = written(branching.join(firsts, ["minimizer", "path"]).withColumn("later", is_later()), "branching")
-    copies = span(placed.where("later"))
+    placed = written(joined(branching, firsts, ["minimizer", "path"]).withColumn("later", is_later()), "branching")
+    copies = stretch(placed.where("later"))
     edges = written(edges_of(placed.where("not later").dropDuplicates(["minimizer", "path"]), docs, window), "edges")
     drop_shuffles(spark)
     known = written(edges.groupBy("e1", "e2").agg(F.count("*").alias("n"), first_place()).where("n > 1").drop("n"), "known")
-    single = edges.join(known, ["e1", "e2"]).where(is_later()).withColumn("edges", F.lit(1))
-    spans = written(straight.unionByName(copies).unionByName(span(single)), "spans")
+    single = joined(edges, known, ["e1", "e2"]).where(is_later()).withColumn("edges", F.lit(1))
+    spans = compacted(straight.unionByName(copies).unionByName(stretch(single)))
+    spans = spans.select("doc_id", "mark", "start", (F.col("end") - F.col("start") + (window - 1)).alias("length"), "source", "source_mark", (F.col("start") + F.col("shift")).alias("at"))
+    spans = written(spans, "spans")
     forget(seen, met, firsts, placed, edges, known)
-    return spans
+    drop_shuffles(spark)
+    wrong = written(digests_of_places(spans, docs).where("least != most").select("source", "source_mark", "at", "length", F.unhex("told").alias("digest")), "wrong")
+    drop_shuffles(spark)
+    if wrong.isEmpty():
+        return spans.select("doc_id", "mark", "start", "length", F.lit(None).cast("binary").alias("digest"))
+    return joined(spans, wrong, ["source", "source_mark", "at", "length"], "left").select("doc_id", "mark", "start", "length", "digest")
 
 
 def without_repeats(docs: DataFrame, more: list[str] = [], window: int = WINDOW, kmer: int = KMER) -> DataFrame:  # noqa: B006
     """doc_id, n_words, n_removed, kept_sha256 (of the kept words joined by one space), text and
     the columns ``more`` of each row. text: the kept words so joined, or the text as it was
-    if it lost none.
+    if it lost none (empty, if it was null).
 
-    Null text has no words. Rows with a null id are outside the order: they neither lose
+    Null, empty and wordless texts have no words: nothing is removed. Texts of any length are
+    read whole, each in one task. Rows with a null id are outside the order: they neither lose
     words nor cause others to. Rows that repeat an id are one document, so at equal places
-    neither is earlier; each loses what begins earlier elsewhere.
+    neither is earlier; each loses what begins earlier elsewhere. ``more`` must not name
+    columns like those returned; other columns are left out. No rows in, no rows out.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *more)
+    docs = marked(docs, more)
     spans = repeated_spans(docs, window, kmer)
     drop_shuffles(docs.sparkSession)
-    lists = spans.groupBy("doc_id", "mark").agg(F.collect_list(F.struct("start", "length")).alias("spans"))  # a group is a part of one document
+    lists = spans.groupBy("doc_id", "mark").agg(F.collect_list(F.struct("start", "length", "digest")).alias("spans"))  # a group is a part of one document
     schema = StructType.fromDDL("doc_id long, n_words long, n_removed long, kept_sha256 string, text binary")
     for c in more:
         schema = schema.add(c, docs.schema[c].dataType)
@@ -188,22 +226,18 @@ def without_repeats(docs: DataFrame, more: list[str] = [], window: int = WINDOW,
         for batch in batches:
             out: list[list] = [[], [], [], []]
             for data, found in zip(unpack(batch.column(1)), batch.column(2).to_pylist()):
-                words = kept = data.split()
-                if found:
-                    change = np.zeros(len(words) + 1, np.int64)
-                    for s in found:
-                        change[s["start"]] += 1
-                        change[s["start"] + s["length"]] -= 1
-                    kept = [w for w, c in zip(words, np.cumsum(change).tolist()) if not c]
-                joined = b" ".join(kept)
-                for column, value in zip(out, (len(words), len(words) - len(kept), hashlib.sha256(joined).hexdigest(), joined if found else data)):
+                words = data.split()
+                kept = kept_words(words, found or [])
+                text = b" ".join(kept)
+                for column, value in zip(out, (len(words), len(words) - len(kept), hashlib.sha256(text).hexdigest(), text if kept is not words else data)):
                     column.append(value)
             kinds = (pa.int64(), pa.int64(), pa.string(), pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(out, kinds)), *batch.columns[3:]], names=["doc_id", "n_words", "n_removed", "kept_sha256", "text", *more])
 
-    joined = packed_texts(docs, more).join(lists, ["doc_id", "mark"], "left").select("doc_id", "packed", "spans", *more)
-    return joined.mapInArrow(rows, schema).withColumn("text", F.col("text").cast("string"))
+    cut = joined(packed_texts(docs, more), lists, ["doc_id", "mark"], "left").select("doc_id", "packed", "spans", *more)
+    return cut.mapInArrow(lean(rows), schema).withColumn("text", F.col("text").cast("string"))
 
 
 def dedup_documents(docs: DataFrame) -> DataFrame:
+    """doc_id, n_words, n_removed, kept_sha256 of each row; cases as ``without_repeats`` states."""
     return without_repeats(docs).drop("text")

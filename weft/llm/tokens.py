@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from weft.llm.common import caches
 
 PUNCTUATION = "!\"#$%&'()*+,-./:;=?@[\\]^_`{|}~"
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 4 << 20
 
 _encoders: dict[tuple, TextEncoder] = {}
 caches["encoders"] = _encoders.clear
@@ -55,7 +55,7 @@ class TextEncoder:
     ``most_keys``, which bounds a worker's memory.
     """
 
-    def __init__(self, words: Callable, whole: Callable, added: list[str], most_keys: int = 150_000):
+    def __init__(self, words: Callable, whole: Callable, added: list[str], most_keys: int = 400_000):
         self.words, self.whole, self.added, self.most_keys = words, whole, added, most_keys
         self.clear()
 
