@@ -50,6 +50,41 @@ def test_near_duplicates_made(spark, seed):
     assert near(ngram_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))) == sorted(brute.near_duplicates(rows), key=str)
 
 
+def test_near_duplicates_of_one_id_with_several_texts(spark):
+    base = [f"w{k}" for k in range(60)]
+    other = " ".join(f"x{k}" for k in range(40))
+    rows = [(1, " ".join(base)), (2, other), (2, " ".join([*base, "tail"])), (3, other + " tail"), (4, ""), (4, "a b c d e"), (5, "A B c d e")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = ngram_join.near_duplicate_rows(df).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == sorted(brute.near_duplicates(rows))
+    assert sorted((r.doc_id, r.n_shingles) for r in got if r.leads) == [(1, 56), (2, 36), (4, 0), (4, 1)]
+
+
+@pytest.mark.parametrize("page", [150, 2000])
+def test_near_duplicates_in_pages(spark, page):
+    """Buckets cut into pages lose no link: copies of one text with up to a third of it changed."""
+    r = random.Random(page)
+    base = [f"w{k}" for k in range(80)]
+    rows = []
+    for k in range(150):
+        w = list(base)
+        for _ in range(r.randrange(0, 5)):
+            w[r.randrange(20, 80)] = f"y{r.randrange(40)}"
+        rows.append((k * 3 % 151, " ".join(w[: r.randrange(45, 81)])))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert near(ngram_join.near_duplicate_rows(df, page)) == sorted(brute.near_duplicates(rows), key=str)
+
+
+def test_linked_pairs_are_all_links(spark):
+    rows = made_rows(5, 80)
+    pairs, members = ngram_join.linked_pairs(spark.createDataFrame(rows, "doc_id long, text string"))
+    of = {r.doc_id: r.node for r in members.collect()}
+    sets = {i: ngram_join.shingle_set((t or "").encode()) for i, t in rows}
+    want = {(min(of[i], of[j]), max(of[i], of[j])) for i in of for j in of if of[i] != of[j] and ngram_join.links(sets[i], sets[j])}
+    assert set(of) == {i for i, s in sets.items() if s}
+    assert {(r.a, r.b) for r in pairs.collect()} == want and want
+
+
 def test_near_duplicates_documents(documents, rows):
     assert near(ngram_join.near_duplicates(documents)) == sorted(brute.near_duplicates(rows), key=str)
 
@@ -80,6 +115,35 @@ def test_spans_odd(clashing, odd_rows, empty):
     assert cut(substring.dedup_documents(empty)) == []
 
 
+def test_only_words_equal_to_their_source_are_taken_out():
+    words = [f"w{k}".encode() for k in range(50)]
+    true, false = {"start": 5, "length": 20, "digest": substring.digest(words[5:25])}, {"start": 22, "length": 24, "digest": substring.digest(words[:24])}
+    assert substring.kept_words(words, [true, false]) == words[:5] + words[25:]
+    assert substring.kept_words(words, [false]) is words
+
+
+def test_places_whose_spans_differ_are_told(spark):
+    """A span that names a source with other words, as after a collision of hashes."""
+    from weft.llm.common import marked
+
+    a, b, c = (" ".join(f"{x}{k}" for k in range(30)) for x in "aac")
+    docs = marked(spark.createDataFrame([(1, a), (2, b), (3, c)], "doc_id long, text string"))
+    mark = {r.doc_id: r.mark for r in docs.collect()}
+    spans = spark.createDataFrame([(2, mark[2], 0, 25, 1, mark[1], 0), (3, mark[3], 0, 25, 1, mark[1], 0), (2, mark[2], 2, 22, 1, mark[1], 2)], "doc_id long, mark long, start int, length int, source long, source_mark long, at int")
+    got = {(r.at, r.length): (r.least == r.most, bytes.fromhex(r.told)) for r in substring.digests_of_places(spans, docs).collect()}
+    words = a.encode().split()
+    assert got == {(0, 25): (False, substring.digest(words[:25])), (2, 22): (True, substring.digest(words[2:24]))}
+
+
+def test_long_repeats_compact_to_one_span(spark):
+    from weft.llm.common import marked
+
+    passage = [f"p{k}" for k in range(200)]
+    rows = [(1, " ".join(["a"] * 3 + passage)), (2, " ".join(passage[20:180] + ["b"] * 5)), (3, " ".join(["c"] + passage[20:90] + ["d"] + passage[90:150]))]
+    got = substring.repeated_spans(marked(spark.createDataFrame(rows, "doc_id long, text string"))).collect()
+    assert sorted((r.doc_id, r.start, r.length) for r in got) == [(2, 0, 160), (3, 1, 70), (3, 72, 60)]
+
+
 def test_unchanged_texts_keep_their_form(spark):
     df = spark.createDataFrame([(1, "a  b\n c", "x")], "doc_id long, text string, lang string")
     assert [tuple(r) for r in substring.without_repeats(df, ["lang"]).select("text", "lang").collect()] == [("a  b\n c", "x")]

@@ -77,6 +77,13 @@ def test_packing_stage(spark, sf_dir, stages):
     assert made.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 4096").count() == 0
 
 
+def test_near_duplicate_stage_keeps_other_texts_under_a_repeated_id(spark, sf_dir):
+    base, other = " ".join(f"w{k}" for k in range(60)), " ".join(f"x{k}" for k in range(40))
+    rows = [(1, base, "en", "a", 1), (2, other, "en", "a", 1), (2, base + " tail", "en", "b", 2), (3, other, "en", "a", 1), (3, "alone " * 9, None, None, None)]
+    made = corpus_pipeline.one_of_each_group(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"), sf_dir)
+    assert sorted(map(tuple, made.collect()), key=str) == sorted([rows[0], rows[1], rows[4]], key=str)
+
+
 def test_run(spark, sf_dir, stages):
     assert corpus_pipeline.run(spark, sf_dir).count() == stages["best_fit_packing"][1].count()
 
