@@ -1,9 +1,11 @@
 """Documents to packed training sequences: language, quality, near duplicates, repeated
 spans, packing. Each stage is written as Parquet and read again as the next one's input.
 
-Rows keep the columns of ``documents`` up to the last stage. Rows with a null id pass the
-stages that compare documents unchanged. Rows that are equal in every column count once
-from the near-duplicate stage on.
+Rows keep the columns of ``documents`` and any others up to the last stage, whatever their
+names. Null, empty and letterless texts have no language and go in the first stage. Rows with a
+null id pass the stages that compare documents unchanged. Rows that are equal in every column
+count once from the near-duplicate stage on. Very long texts are read whole by every stage.
+Without labels no text scores under the threshold and all stay. No rows in, no rows out.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weft.llm import langid, ngram_join, packing, quality, substring
-from weft.llm.common import new_path
+from weft.llm.common import new_path, ready
 from weft.llm.queries import table, vocabulary
 
 
@@ -29,6 +31,7 @@ def back(df: DataFrame, names: dict[str, str]) -> DataFrame:
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised by a clear margin."""
+    ready(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     dictionaries = langid.learn(rows, langid.in_training(F.col("doc_id")))
     plain, names = renamed(docs)
@@ -38,22 +41,26 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
+    ready(spark)
     model = quality.train(docs, table(spark, sf_dir, "labels"))
     plain, names = renamed(docs)
     return back(quality.score_texts(plain, model, plain.columns, text=names["text"]).where(F.col("score") >= quality.THRESHOLD), names)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least id of every group of near duplicates."""
-    first = ngram_join.near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
+    """The document of least id of every group of near duplicates; of several texts under that id
+    one, by the text's hash. Texts under one id that don't link are different documents."""
+    ready(spark)
+    leads = ngram_join.near_duplicate_rows(docs).where("leads").select("doc_id", "mark").distinct()
     plain, names = renamed(docs)
-    i = F.col(names["doc_id"])
-    kept = plain.join(first.withColumnRenamed("doc_id", "_first"), i.cast("long") == F.col("_first"), "left_semi").dropDuplicates()
+    i, mark = F.col(names["doc_id"]), F.xxhash64(F.coalesce(F.col(names["text"]).cast("string"), F.lit("")))
+    kept = plain.join(leads, (i.cast("long") == F.col("doc_id")) & (mark == F.col("mark")), "left_semi").dropDuplicates()
     return back(kept.unionByName(plain.where(i.isNull())), names)
 
 
 def without_repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents without the words of spans that begin earlier; n_chars follows."""
+    """The documents without the words of spans that begin earlier; n_chars follows. A null text becomes empty."""
+    ready(spark)
     plain, names = renamed(docs)
     rest = [new for old, new in names.items() if old not in ("doc_id", "text")]
     cut = substring.without_repeats(plain.withColumnsRenamed({names["doc_id"]: "doc_id", names["text"]: "text"}), rest)
@@ -63,6 +70,7 @@ def without_repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The sequence and place of every piece of the documents' tokens."""
+    ready(spark)
     return packing.pack_documents(docs, vocabulary())
 
 
