@@ -97,6 +97,7 @@ def thresholds(rows: DataFrame, inertia: float = INERTIA, reach: float = REACH)
     own = fences(sketches, "own", ["lang", "source"])
     by_lang = fences(sketches.groupBy("lang").agg(*merged), "by_lang", ["lang"]).withColumnRenamed("lang", "_lang")
     joined = own.join(by_lang, F.col("lang").eqNullSafe(F.col("_lang")), "left").crossJoin(F.broadcast(fences(everything, "pooled", [])))  # pooled: one row
+
     def blended(m: str) -> Column:
         def weigh(n: str, own: Column, other: Column) -> Column:
             weight = F.col(n) / (F.col(n) + inertia)
