@@ -6,9 +6,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from weft.functions import dot, l2_norm, revenue, share_of
+from weft.functions import l2_norm, revenue, share_of
 from weft.functions.registry import register_functions
-from weft.operators import group_percentiles, interval_join, latest_per_key, range_join, salted_join, sized_join, top_k
+from weft.operators import cosine_top_k, group_percentiles, interval_join, latest_per_key, range_join, salted_join, sized_join, top_k
 from weft.sources import read_table, register_views
 
 _REVENUE = "CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))"
@@ -351,14 +351,9 @@ SELECT query_id, vec_id, similarity, CAST(rank AS BIGINT) AS rank FROM (
     FROM embeddings q JOIN embeddings v ON q.vec_id % 50 = 0 AND q.vec_id != v.vec_id)) WHERE rank <= 5""")
 def p43_vector_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five nearest vectors by cosine of every vector whose id is divisible by 50 (a top-k
-    report): every query meets all rows, in blocks of 64 queries that travel as one row each."""
-    vectors = read_table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
-    vectors = vectors.withColumn("norm", l2_norm(F.col("v")))
-    asked = vectors.where("vec_id % 50 = 0")
-    blocks = asked.groupBy(F.floor(F.col("vec_id") / (50 * 64)).alias("block")).agg(F.collect_list(F.struct("vec_id", "v", "norm")).alias("qs"))  # 64 a block at most
-    met = vectors.crossJoin(blocks).select(F.col("vec_id").alias("i"), "v", "norm", F.explode("qs").alias("q")).where("i != q.vec_id")
-    near = met.select(F.col("q.vec_id").alias("query_id"), F.col("i").alias("vec_id"), F.round(dot(F.col("q.v"), F.col("v")) / (F.col("q.norm") * F.col("norm")), 6).alias("similarity"))
-    return top_k(near, ["query_id"], [F.desc("similarity"), F.col("vec_id")], 5).withColumn("rank", F.col("rank").cast("long"))
+    report): every query meets all rows, in products of matrices."""
+    near = cosine_top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, "vec_id", "embedding", 5, 6)
+    return near.withColumn("rank", F.col("rank").cast("long"))
 
 
 @query("""
